@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 SUPPORTED_EXTENSIONS = (".csv", ".json", ".jsonl", ".parquet", ".gz")
 FORMAT_OF_EXTENSION = {".csv": "csv", ".json": "json", ".jsonl": "json", ".parquet": "parquet"}
 READER_OF_EXTENSION = {".csv": "csv", ".json": "json", ".jsonl": "jsonl", ".parquet": "parquet"}
+UNKNOWN = "unknown"
 # A gzipped Parquet file is no Parquet file, so only text formats are peeled.
 GZIP_TEXT = (".csv", ".json", ".jsonl")
 
@@ -33,26 +34,26 @@ def extension(key: Column) -> Column:
 
 def data_extension(key: Column) -> Column:
     """The extension that tells the format: the one under ``.gz`` if zipped."""
-    name = F.lower(base_name(key))
-    inner = F.regexp_extract(F.regexp_replace(name, r"\.gz$", ""), _EXTENSION, 1)
-    return F.when(extension(key) != ".gz", extension(key)).when(inner.isin(*GZIP_TEXT), inner).otherwise("")
+    outer = extension(key)
+    inner = F.regexp_extract(F.regexp_replace(F.lower(base_name(key)), r"\.gz$", ""), _EXTENSION, 1)
+    return F.when(outer != ".gz", outer).when(inner.isin(*GZIP_TEXT), inner).otherwise("")
 
 
-def _lookup(ext: Column, table: dict[str, str], default: str) -> Column:
-    chosen = F.lit(default)
+def _lookup(ext: Column, table: dict[str, str]) -> Column:
+    chosen = F.lit(UNKNOWN)
     for suffix, value in table.items():
         chosen = F.when(ext == suffix, value).otherwise(chosen)
     return chosen
 
 
-def data_format(key: Column) -> Column:
-    """csv, json, parquet or unknown."""
-    return _lookup(data_extension(key), FORMAT_OF_EXTENSION, "unknown")
+def format_of(ext: Column) -> Column:
+    """csv, json, parquet or unknown, from a data extension."""
+    return _lookup(ext, FORMAT_OF_EXTENSION)
 
 
-def reader_name(key: Column) -> Column:
+def reader_of(ext: Column) -> Column:
     """Like the format, but JSON-Lines apart from JSON documents."""
-    return _lookup(data_extension(key), READER_OF_EXTENSION, "unknown")
+    return _lookup(ext, READER_OF_EXTENSION)
 
 
 def raw_key(key: Column, fmt: Column, ingest_ts: Column) -> Column:

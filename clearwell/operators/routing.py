@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.functions.keys import (
     SUPPORTED_EXTENSIONS,
-    data_format,
+    UNKNOWN,
+    data_extension,
     decoded_key,
     extension,
+    format_of,
     raw_key,
-    reader_name,
+    reader_of,
 )
 
 # Fixed value: the part of an upload notification the routing looks at.
@@ -50,29 +52,31 @@ def under_prefix(uploads: DataFrame, prefix: str = "uploads/") -> DataFrame:
     return uploads.filter(F.startswith(F.col("original_key"), F.lit(prefix)))
 
 
-def skip_reason(key: Column, size: Column) -> Column:
-    """Why a file is not taken in, NULL if it is; the extension is judged first."""
-    return (
-        F.when(~F.coalesce(extension(key), F.lit("")).isin(*SUPPORTED_EXTENSIONS), "unsupported_extension")
-        .when(size == 0, "empty_file")
-        .when(data_format(key) == "unknown", "unknown_format")
-    )
-
-
 def route(uploads: DataFrame, ingest_ts: datetime | None = None, batch_id: str | None = None) -> DataFrame:
     """A verdict for every file, skipped ones with the reason.
 
-    ``uploads`` has ``original_key`` and ``size``. The place in the raw zone, the
-    format, the reader and the batch are set on accepted files only. Files of one
-    day that share a name share their place in the raw zone;
-    ``raw_key_collisions`` lists those.
+    ``uploads`` has ``original_key`` and ``size``. The extension is judged before
+    the size. The place in the raw zone, the format, the reader and the batch are
+    set on accepted files only. Files of one day that share a name share their
+    place in the raw zone; ``raw_key_collisions`` lists those.
     """
     key = F.col("original_key")
-    reason = skip_reason(key, F.col("size"))
     day = F.lit(ingest_ts or datetime.now(UTC))
-    verdicts = uploads.withColumns({"reason": reason, "format": data_format(key), "reader": reader_name(key)})
+    # Each stage is used several times by the next, so it stays a column of its own.
+    endings = uploads.withColumns(
+        {"_outer": F.coalesce(extension(key), F.lit("")), "_inner": F.coalesce(data_extension(key), F.lit(""))}
+    )
+    judged = endings.withColumns(
+        {
+            "format": format_of(F.col("_inner")),
+            "reader": reader_of(F.col("_inner")),
+            "reason": F.when(~F.col("_outer").isin(*SUPPORTED_EXTENSIONS), "unsupported_extension")
+            .when(F.col("size") == 0, "empty_file")
+            .when(format_of(F.col("_inner")) == UNKNOWN, "unknown_format"),
+        }
+    )
     accepted = F.col("reason").isNull()
-    return verdicts.select(
+    return judged.select(
         *uploads.columns,
         F.when(accepted, TRIGGERED).otherwise(SKIPPED).alias("status"),
         "reason",

@@ -42,10 +42,16 @@ _MARKS = f"`{COPIES}` bigint, `{CAST_FAILURES}` int, `{REASON}` string"
 _FOLDERS = (ZONE, *DATE_PARTS)
 
 QUALITY_RUNS = "quality_runs"
-RUN_SCHEMA = (
-    "raw_count bigint, clean_count bigint, quarantine_count bigint, duplicate_count bigint,"
-    " all_null_count bigint, cast_failure_count bigint, pass_rate_pct double, below_threshold boolean"
-)
+RUN_COLUMNS = {
+    "raw_count": "bigint",
+    "clean_count": "bigint",
+    "quarantine_count": "bigint",
+    "duplicate_count": "bigint",
+    "all_null_count": "bigint",
+    "cast_failure_count": "bigint",
+    "pass_rate_pct": "double",
+    "below_threshold": "boolean",
+}
 
 
 def mark_batch(
@@ -103,7 +109,9 @@ def run_batch(
         write_batch(mark_batch(df, contract, run_ts, strict), path, batch_id)
     written = read_partitioned(spark, batch_path(path, batch_id), _MARKS, _FOLDERS)
     metrics = zone_metrics(written).first().asDict()
-    run = spark.createDataFrame([tuple(metrics.values())], RUN_SCHEMA)
+    run = spark.range(0, 1, 1, 1).select(
+        *[F.lit(metrics[name]).cast(kind).alias(name) for name, kind in RUN_COLUMNS.items()]
+    )
     runs = f"{table_path(lake, QUALITY_RUNS)}/table={contract.name}"
     run.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(batch_path(runs, batch_id))
     log_verdict(contract.name, metrics)
@@ -112,7 +120,8 @@ def run_batch(
 
 def quality_runs(spark: SparkSession, lake: str) -> DataFrame:
     """One row per table and batch."""
-    return read_partitioned(spark, table_path(lake, QUALITY_RUNS), RUN_SCHEMA, ("table", BATCH))
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in RUN_COLUMNS.items())
+    return read_partitioned(spark, table_path(lake, QUALITY_RUNS), schema, ("table", BATCH))
 
 
 def contract_ddl(contract: Contract, extras: str = "") -> str:

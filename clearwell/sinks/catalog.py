@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearwell.functions.values import DATE_PARTS
-from clearwell.sources.readers import read_partitioned
+from clearwell.sources.readers import list_uploads
 
 log = logging.getLogger(__name__)
 
@@ -59,10 +59,10 @@ def refresh_table(spark: SparkSession, table: str, seen: DataFrame | None = None
 
 
 def partition_folders(spark: SparkSession, path: str, partitions: Sequence[str] = DATE_PARTS) -> DataFrame:
-    """The partitions that have files, as ``a=1/b=2`` strings."""
-    found = read_partitioned(spark, path, "`_` string", partitions).select(*partitions).distinct()
-    pieces = [F.concat(F.lit(f"{name}="), F.col(name)) for name in partitions]
-    return found.select(F.concat_ws("/", *pieces).alias("partition"))
+    """The partitions that have files, as ``a=1/b=2`` strings, from a listing alone."""
+    files = list_uploads(spark, path).select(F.col("original_key").alias("file"))
+    folders = "/".join(f"{name}=[^/]+" for name in partitions)
+    return files.select(F.regexp_extract("file", f"({folders})/[^/]+$", 1).alias("partition")).distinct()
 
 
 def stale_partitions(spark: SparkSession, table: str, seen: DataFrame) -> DataFrame:

@@ -95,7 +95,7 @@ def stream_source(
     fmt: str,
     schema,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     **options: str,
 ) -> DataFrame:
     """The same files as an unbounded table; one of the limits sizes a batch."""

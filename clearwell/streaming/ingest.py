@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clearwell.contracts import Contract
 from clearwell.operators.shape import with_source_file
 from clearwell.plans.batch import run_batch
-from clearwell.session import pin
+from clearwell.session import folder_bytes, pin
 from clearwell.sinks.writers import write_batch
 from clearwell.sources.readers import stream_source
 
@@ -43,7 +43,7 @@ def ingest_available(
     per_file: bool = True,
     strict: bool = False,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     batch_prefix: str = "s",
     **options: str,
 ) -> None:
@@ -54,8 +54,11 @@ def ingest_available(
     Duplicates are removed within a file, so the result does not depend on how
     files are grouped into micro-batches; ``per_file=False`` widens that to the
     micro-batch. ``prepare`` maps the read rows to the raw columns of the table.
+    ``max_files`` or ``max_bytes`` cuts a backlog into several micro-batches.
     """
     pin(spark)
+    waiting = folder_bytes(spark, path)
+    batch_bytes = min(waiting, max_bytes) if max_bytes else waiting
     stream = stream_source(spark, path, fmt, schema, max_files, max_bytes, **options)
     if per_file:
         stream = with_source_file(stream)
@@ -63,7 +66,7 @@ def ingest_available(
         stream = prepare(stream)
 
     def write(df: DataFrame, batch: int) -> None:
-        run_batch(df, contract, lake, f"{batch_prefix}{batch:08d}", strict=strict)
+        run_batch(df, contract, lake, f"{batch_prefix}{batch:08d}", strict=strict, input_bytes=batch_bytes)
 
     for_each_batch(stream, checkpoint, write).awaitTermination()
 
@@ -72,7 +75,8 @@ def deduplicate_stream(stream: DataFrame, ids: Sequence[str], event_time: str, d
     """Drop repeated ids across files, as long as they come within ``delay``.
 
     State is kept for that time only. Rows older than the watermark are dropped by
-    the engine and counted in the query progress.
+    the engine and counted in the query progress. The state is split into
+    ``spark.sql.shuffle.partitions`` parts when the checkpoint is made, for good.
     """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(ids))
 

@@ -17,8 +17,6 @@ from clearwell.workloads.registry import Tables, query
 from clearwell.workloads.shapes import ORDER_TYPES, SQL_DATE_PARTS, STORED_ORDERS
 
 _ORDERS_SQL = f"SELECT {', '.join(ORDER_TYPES)} FROM orders"
-_DATED_SQL = f"SELECT *, {SQL_DATE_PARTS.format('o_orderdate')} FROM orders"
-_ORDERS_DDL = ", ".join(f"`{name}` {kind}" for name, kind in ORDER_TYPES.items())
 # Order keys per JSON document: a document is read by one task, so its size is fixed.
 _KEYS_PER_DOCUMENT = 8192
 
@@ -27,14 +25,6 @@ def _typed(df: DataFrame) -> DataFrame:
     return shape.apply_contract(df, STORED_ORDERS).select(*ORDER_TYPES)
 
 
-def _dated_orders(t: Tables) -> DataFrame:
-    return shape.add_date_partitions(t["orders"], "o_orderdate")
-
-
-def _read_dated(t: Tables, path: str) -> DataFrame:
-    return readers.read_partitioned(t.spark, path, _ORDERS_DDL)
-
-
 @query(_ORDERS_SQL)
 def parquet_scan(t: Tables) -> DataFrame:
     return readers.read_source(t.spark, f"{t.folder}/orders.parquet", "parquet")
@@ -86,13 +76,6 @@ def json_document_scan(t: Tables) -> DataFrame:
     return _typed(readers.read_source(t.spark, path, "json", recursiveFileLookup="true"))
 
 
-@query(_DATED_SQL)
-def partitioned_readback(t: Tables) -> DataFrame:
-    path = t.scratch("clean")
-    writers.write_clean(_dated_orders(t), path)
-    return _read_dated(t, path)
-
-
 _EVENTS_SQL = f"SELECT *, {SQL_DATE_PARTS.format('ts')} FROM events"
 
 
@@ -108,6 +91,13 @@ def _read_events(t: Tables, path: str) -> DataFrame:
     return readers.read_partitioned(t.spark, path, _events_ddl(t))
 
 
+@query(_EVENTS_SQL)
+def partitioned_readback(t: Tables) -> DataFrame:
+    path = t.scratch("clean")
+    writers.write_clean(_dated_events(t), path)
+    return _read_events(t, path)
+
+
 @query(f"""
     SELECT * FROM ({_EVENTS_SQL}) WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-22'
 """)
