@@ -34,6 +34,7 @@ from clearwell.operators.shape import (
     with_source_file,
 )
 from clearwell.session import folder_bytes, pin, widened_shuffles
+from clearwell.sinks.catalog import register_table
 from clearwell.sinks.writers import BATCH, batch_path, write_batch, write_clean, write_quarantine
 from clearwell.sources.readers import read_partitioned, read_source
 
@@ -156,19 +157,40 @@ def publish_batch(
     quarantine_path: str,
     source: str,
     extras: str = "",
-    mode: str = "append",
 ) -> None:
     """Copy a written batch to separate clean and quarantine folders.
 
     For readers that expect ``year=/month=/day=`` at the top of the clean folder and
     ``source=`` at the top of the quarantine folder. The batch on disk is the common
-    input of both writes, so the duplicates are not removed twice.
+    input of both writes, so the duplicates are not removed twice. Publishing a
+    batch again replaces its folders.
     """
     in_batch = F.col(BATCH) == batch_id
-    write_clean(clean_rows(spark, lake, contract, extras).filter(in_batch).drop(BATCH), data_path, mode)
-    write_quarantine(
-        quarantine_rows(spark, lake, contract, extras).filter(in_batch).drop(BATCH), quarantine_path, source, mode
-    )
+    good = clean_rows(spark, lake, contract, extras).filter(in_batch)
+    bad = quarantine_rows(spark, lake, contract, extras).filter(in_batch)
+    write_clean(good, data_path, "overwrite", batch_id)
+    write_quarantine(bad, quarantine_path, source, "overwrite", batch_id)
+
+
+def register_lake_table(spark: SparkSession, lake: str, contract: Contract, database: str, extras: str = "") -> None:
+    """Make a table of the lake available to SQL.
+
+    ``<name>_batches`` holds all rows with their marks, the view ``<name>`` the
+    clean rows and the view ``<name>_quarantine`` the bad ones. Call it again to
+    pick up new batches.
+    """
+    data = contract_ddl(contract, extras)
+    table = f"`{database}`.`{contract.name}_batches`"
+    register_table(spark, table, table_path(lake, contract.name), f"{data}, {_MARKS}", (BATCH, *_FOLDERS))
+    hidden = (COPIES, CAST_FAILURES, REASON, ZONE, BATCH)
+    columns = ", ".join(f"`{name}`" for name in spark.table(table).columns if name not in hidden)
+    for view, shown, zone in (
+        (contract.name, columns, CLEAN),
+        (f"{contract.name}_quarantine", f"{columns}, `{REASON}`", QUARANTINE),
+    ):
+        spark.sql(
+            f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {shown} FROM {table} WHERE `{ZONE}` = '{zone}'"
+        )
 
 
 @dataclass(frozen=True)

@@ -11,14 +11,20 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+MB = 1024 * 1024
 # Shuffle bytes one reduce task should handle; AQE merges smaller partitions.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+TARGET_PARTITION_BYTES = 128 * MB
 # Compressed columnar files grow when their rows are shuffled.
 SHUFFLE_INFLATION = 3
-MAX_INITIAL_PARTITIONS = 200_000
+# Beyond this, partitions grow instead: every map task writes a block for each.
+MAX_INITIAL_PARTITIONS = 100_000
+# With fewer and larger scan tasks a big shuffle has fewer and larger blocks.
+BIG_INPUT_BYTES, BIG_SCAN_SPLIT = 10 * 1024 * 1024 * MB, 256 * MB
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SCAN_SPLIT = "spark.sql.files.maxPartitionBytes"
 _MIN_PARTITION_SIZE = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+_ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 _RUNTIME_CONF = {
     # The day of a "...Z" timestamp must not depend on the machine.
@@ -69,45 +75,50 @@ def widen_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Raise the first number of shuffle partitions to what the input needs.
 
     AQE merges partitions but cannot split those of an aggregation, so the
-    starting number has to grow with the data. It is never lowered.
+    starting number has to grow with the data. It is never lowered. Very large
+    inputs are also scanned in larger pieces.
     """
     floor = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = initial_partitions(input_bytes)
     if wanted > floor:
         spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
+    if input_bytes >= BIG_INPUT_BYTES:
+        spark.conf.set(_SCAN_SPLIT, str(BIG_SCAN_SPLIT))
     return max(wanted, floor)
 
 
 @contextmanager
-def _restored(spark: SparkSession, key: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
+def _restored(spark: SparkSession, *keys: str) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in keys}
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 @contextmanager
 def widened_shuffles(spark: SparkSession, input_bytes: int | None) -> Iterator[None]:
     """``widen_shuffles`` for the actions of one block."""
-    with _restored(spark, _INITIAL_PARTITIONS):
+    with _restored(spark, _INITIAL_PARTITIONS, _SCAN_SPLIT):
         if input_bytes:
             widen_shuffles(spark, input_bytes)
         yield
 
 
 @contextmanager
-def parallel_writes(spark: SparkSession) -> Iterator[None]:
-    """Let small writes use all cores.
+def write_sizes(spark: SparkSession) -> Iterator[None]:
+    """Partition sizes that suit a write into many folders.
 
-    A write into many folders costs by the file, not by the byte. By default AQE
-    merges shuffle partitions up to 1 MB, which would leave all folders of a small
-    batch to one task. Larger batches are cut by the advisory size either way.
+    Large batches are cut into pieces of 256 MB of shuffled rows, which make files
+    of a good size. Small ones may use all cores: such a write costs by the file,
+    not by the byte, and by default AQE would leave all folders to one task.
     """
-    with _restored(spark, _MIN_PARTITION_SIZE):
+    with _restored(spark, _ADVISORY_SIZE, _MIN_PARTITION_SIZE):
+        spark.conf.set(_ADVISORY_SIZE, "256m")
         spark.conf.set(_MIN_PARTITION_SIZE, "16k")
         yield
 

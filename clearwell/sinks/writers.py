@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clearwell.functions.values import DATE_PARTS
 from clearwell.operators.quality import ZONE
-from clearwell.session import parallel_writes
+from clearwell.session import write_sizes
 
 BATCH = "_batch"
 
@@ -39,13 +39,30 @@ def write_partitioned(
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partitions)
     )
-    with parallel_writes(df.sparkSession):
+    with write_sizes(df.sparkSession):
         writer.parquet(path)
 
 
-def write_clean(df: DataFrame, path: str, mode: str = "append", max_records_per_file: int = 0) -> None:
-    """Clean rows by year, month and day."""
-    write_partitioned(df, path, DATE_PARTS, mode, max_records_per_file)
+def _of_batch(df: DataFrame, batch_id: str | None, partitions: Sequence[str]) -> tuple[DataFrame, Sequence[str]]:
+    if batch_id is None:
+        return df, partitions
+    return df.withColumn(BATCH, F.lit(batch_id)), (*partitions, BATCH)
+
+
+def write_clean(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    batch_id: str | None = None,
+    max_records_per_file: int = 0,
+) -> None:
+    """Clean rows by year, month and day.
+
+    With a ``batch_id`` each day has a folder per batch, and ``overwrite`` replaces
+    the folders of that batch only.
+    """
+    df, partitions = _of_batch(df, batch_id, DATE_PARTS)
+    write_partitioned(df, path, partitions, mode, max_records_per_file)
 
 
 def write_quarantine(
@@ -53,6 +70,7 @@ def write_quarantine(
     path: str,
     source: str | None = None,
     mode: str = "append",
+    batch_id: str | None = None,
     partitioned: bool = True,
 ) -> None:
     """Bad rows by source and date, or as one flat folder.
@@ -60,8 +78,8 @@ def write_quarantine(
     No count comes first: without bad rows the write adds no data file.
     """
     if partitioned:
-        tagged = df.withColumn("source", F.lit(source))
-        write_partitioned(tagged, path, ("source", *DATE_PARTS), mode)
+        tagged, partitions = _of_batch(df.withColumn("source", F.lit(source)), batch_id, ("source", *DATE_PARTS))
+        write_partitioned(tagged, path, partitions, mode)
     else:
         df.write.mode(mode).parquet(path)
 
@@ -91,7 +109,7 @@ def write_batch(
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partitions)
     )
-    with parallel_writes(marked.sparkSession):
+    with write_sizes(marked.sparkSession):
         writer.parquet(batch_path(path, batch_id))
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.contracts import EVENTS, ORDERS, Contract
+from clearwell.functions.values import DATE_PARTS
 from clearwell.operators import quality, shape
 from clearwell.plans import batch, reports
+from clearwell.sinks import catalog
 from clearwell.sinks.writers import BATCH
 from clearwell.sources import readers
 from clearwell.streaming import ingest
@@ -93,17 +97,35 @@ def batch_rerun(t: Tables) -> DataFrame:
     SELECT 'csv', {_DATA}, reason, {_DATE} FROM marked WHERE reason IS NOT NULL
 """)
 def batch_published(t: Tables) -> DataFrame:
-    """Clean and quarantine folders apart, the latter by source."""
+    """Clean and quarantine folders apart, the latter by source; the second call changes nothing."""
     lake, data, bad = _run(t), t.scratch("data"), t.scratch("quarantine")
-    batch.publish_batch(t.spark, lake, ORDERS, _BATCH_ID, data, bad, "csv", MESSY_EXTRAS)
+    for _ in range(2):
+        batch.publish_batch(t.spark, lake, ORDERS, _BATCH_ID, data, bad, "csv", MESSY_EXTRAS)
     schema = batch.contract_ddl(ORDERS, MESSY_EXTRAS)
-    clean = readers.read_partitioned(t.spark, data, schema)
+    clean = readers.read_partitioned(t.spark, data, schema, (*DATE_PARTS, BATCH))
     quarantine = readers.read_partitioned(
-        t.spark, bad, f"{schema}, `{quality.REASON}` string", ("source", "year", "month", "day")
+        t.spark, bad, f"{schema}, `{quality.REASON}` string", ("source", *DATE_PARTS, BATCH)
     )
     return _comparable(shape.union_by_name(clean, quarantine))
 
 
+_REVENUE_SQL = """
+    SELECT year, month, day, CAST(sum(CAST(total_amount AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
+    FROM {orders} WHERE status <> 'F' GROUP BY year, month, day
+"""
+
+
+@query(f"""
+    WITH {SQL_MARKED_ORDERS}, good AS (SELECT * FROM marked WHERE reason IS NULL) {_REVENUE_SQL.format(orders="good")}
+""")
+def sql_report(t: Tables) -> DataFrame:
+    """A report as SQL text on the catalog view of the clean rows."""
+    database = catalog.database_name("clear-well", uuid.uuid4().hex)
+    catalog.ensure_database(t.spark, database, t.scratch("database"))
+    batch.register_lake_table(t.spark, _run(t), ORDERS, database, MESSY_EXTRAS)
+    return t.spark.sql(_REVENUE_SQL.format(orders=f"{database}.orders"))
+
+
 @query(f"""
     WITH {SQL_MARKED_ORDERS}
     SELECT {_DATE}, count(*) AS total_orders,

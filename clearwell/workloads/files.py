@@ -17,8 +17,8 @@ from clearwell.workloads.registry import Tables, query
 from clearwell.workloads.shapes import ORDER_TYPES, SQL_DATE_PARTS, STORED_ORDERS
 
 _ORDERS_SQL = f"SELECT {', '.join(ORDER_TYPES)} FROM orders"
-# Order keys per JSON document: a document is read by one task, so its size is fixed.
-_KEYS_PER_DOCUMENT = 8192
+# Rows per JSON document, a power of two: a document is read by one task.
+_ROWS_PER_DOCUMENT = 8192
 
 
 def _typed(df: DataFrame) -> DataFrame:
@@ -62,16 +62,20 @@ def jsonl_scan(t: Tables) -> DataFrame:
 
 @query(_ORDERS_SQL)
 def json_document_scan(t: Tables) -> DataFrame:
-    """JSON documents that are arrays of orders, each with a fixed range of keys."""
+    """JSON documents that are arrays of orders; no document has more than a fixed number.
+
+    Rows are numbered within their scan task, so the size of a document does not
+    depend on any key.
+    """
     path = t.scratch("json")
     orders = t["orders"]
-    document = F.floor(F.col("o_orderkey") / _KEYS_PER_DOCUMENT)
+    document = F.floor(F.monotonically_increasing_id() / _ROWS_PER_DOCUMENT)
     body = F.concat(
         F.lit("[\n"),
         F.concat_ws(",\n", F.collect_list(F.to_json(F.struct(*ORDER_TYPES)))),
         F.lit("\n]"),
     )
-    documents = orders.groupBy(document.alias("document")).agg(body.alias("body"))
+    documents = orders.withColumn("document", document).groupBy("document").agg(body.alias("body"))
     documents.write.partitionBy("document").text(path)
     return _typed(readers.read_source(t.spark, path, "json", recursiveFileLookup="true"))
 

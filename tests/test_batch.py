@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from clearwell.contracts import EVENTS, ORDERS, Contract, ContractError
 from clearwell.operators import shape
 from clearwell.plans import batch, reports
+from clearwell.sinks import catalog
 from clearwell.sinks.writers import BATCH
 from clearwell.sources import readers
 from tests import fixtures
@@ -187,11 +188,22 @@ def test_table_without_contract_passes_through(spark, tmp_path):
 def test_published_folders(spark, lake, tmp_path):
     data, bad = str(tmp_path / "data"), str(tmp_path / "bad")
     for _ in range(2):
-        batch.publish_batch(spark, lake[0], ORDERS, "run1", data, bad, "csv", mode="overwrite")
-    schema = batch.contract_ddl(ORDERS)
-    assert readers.read_partitioned(spark, data, schema).count() == 11
-    assert (tmp_path / "data/year=2024/month=01/day=15").is_dir()
-    assert (tmp_path / "bad/source=csv/year=2024/month=01/day=21").is_dir()
+        batch.publish_batch(spark, lake[0], ORDERS, "run1", data, bad, "csv")
+    folders = ("year", "month", "day", BATCH)
+    assert readers.read_partitioned(spark, data, batch.contract_ddl(ORDERS), folders).count() == 11
+    assert (tmp_path / "data/year=2024/month=01/day=15/_batch=run1").is_dir()
+    assert (tmp_path / "bad/source=csv/year=2024/month=01/day=21/_batch=run1").is_dir()
+
+
+def test_sql_on_the_lake(spark, lake, tmp_path):
+    database = catalog.ensure_database(spark, "samples_db", str(tmp_path / "db"))
+    for contract in (ORDERS, EVENTS, ORDERS):
+        batch.register_lake_table(spark, lake[0], contract, database)
+    assert spark.table("samples_db.orders").columns == [*ORDERS.columns, "year", "month", "day"]
+    assert spark.table("samples_db.orders").count() == 11
+    assert spark.table("samples_db.orders_quarantine").count() == 2
+    got = spark.sql("SELECT count(DISTINCT user_id) FROM samples_db.events WHERE event_type = 'page_view'").first()
+    assert got[0] == 3
 
 
 def test_hot_rows_and_hot_days(spark, tmp_path):

@@ -85,11 +85,14 @@ def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert initial_partitions(1) == 1
     assert initial_partitions(10 * 2**30) == 240
-    assert initial_partitions(10**17) == 200_000
+    assert initial_partitions(10**17) == 100_000
     before = spark.conf.get(key, None)
     with widened_shuffles(spark, 10 * 2**30):
         assert spark.conf.get(key) == "240"
     assert spark.conf.get(key, None) == before
+    with widened_shuffles(spark, 10**14):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 2**20)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(256 * 2**20)
     with widened_shuffles(spark, 1):
         assert spark.conf.get(key, None) == before
 
