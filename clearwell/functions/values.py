@@ -15,7 +15,8 @@ _INTEGERS = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 DATE_CANDIDATES = ("created_at", "timestamp", "event_time", "date", "updated_at")
 DATE_PARTS = ("year", "month", "day")
 
-MONEY = "decimal(18,2)"
+# The widest type of whole ten-thousandths that still fits a machine word.
+MONEY = "decimal(18,4)"
 
 
 def safe_cast(value: Column, from_type: str, to_type: str) -> Column:
@@ -47,5 +48,8 @@ def date_parts(moment: Column) -> list[Column]:
 
 
 def exact_sum(amount: Column, money: str = MONEY) -> Column:
-    """Sum whose result does not depend on the order rows arrive in."""
+    """Sum whose result does not depend on the order rows arrive in.
+
+    ``money="double"`` adds up floating-point numbers as they come instead.
+    """
     return F.sum(amount.cast(money))

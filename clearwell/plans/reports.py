@@ -2,8 +2,9 @@
 
 Each takes contract-shaped rows and returns a lazy DataFrame. Values that mean
 "cancelled", "completed" or "viewed" are parameters. Sums of money go through
-``decimal``, so a report does not change with the order rows arrive in; a value
-that does not fit the decimal type fails the job.
+``decimal``, so a report does not change with the order rows arrive in. Digits
+beyond the scale of the ``money`` type are rounded; a value that is too large for
+it fails the job.
 """
 
 from __future__ import annotations

@@ -29,6 +29,8 @@ _ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _RUNTIME_CONF = {
     # The day of a "...Z" timestamp must not depend on the machine.
     "spark.sql.session.timeZone": "UTC",
+    # A sum that does not fit its type must fail, not turn into NULL.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # The state of a stream grows with its ids and must not fill the heap.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from clearwell.operators.shape import with_source_file
 from clearwell.plans.batch import run_batch
 from clearwell.session import folder_bytes, pin
 from clearwell.sinks.writers import write_batch
-from clearwell.sources.readers import stream_source
+from clearwell.sources.readers import name_glob, stream_source
 
 
 def for_each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -71,6 +72,47 @@ def ingest_available(
     for_each_batch(stream, checkpoint, write).awaitTermination()
 
 
+@dataclass(frozen=True)
+class Feed:
+    """Uploaded files of one format that belong to one table.
+
+    ``schema`` is that of the files; ``pattern`` narrows them down by file name.
+    """
+
+    fmt: str
+    contract: Contract
+    schema: str
+    pattern: str | None = None
+
+
+def ingest_feeds(
+    spark: SparkSession,
+    path: str,
+    feeds: Sequence[Feed],
+    lake: str,
+    checkpoint: str,
+    **limits: int,
+) -> None:
+    """Take in what is new in a folder of mixed uploads, feed by feed.
+
+    Two feeds may fill the same table from files of different formats.
+    """
+    for feed in feeds:
+        name = f"{feed.contract.name}-{feed.fmt}"
+        ingest_available(
+            spark,
+            path,
+            feed.fmt,
+            feed.schema,
+            feed.contract,
+            lake,
+            f"{checkpoint.rstrip('/')}/{name}",
+            batch_prefix=feed.fmt,
+            pathGlobFilter=feed.pattern or name_glob(feed.fmt),
+            **limits,
+        )
+
+
 def deduplicate_stream(stream: DataFrame, ids: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop repeated ids across files, as long as they come within ``delay``.
 

@@ -1,13 +1,15 @@
+import gzip
 import json
 from pathlib import Path
 
 import pytest
 
-from clearwell.contracts import EVENTS
+from clearwell.contracts import EVENTS, ORDERS
 from clearwell.plans import batch
 from clearwell.sinks.writers import BATCH
 from clearwell.sources import readers
 from clearwell.streaming import ingest
+from tests import fixtures
 
 COLUMNS = ("event_id", "user_id", "event_type", "timestamp")
 
@@ -118,3 +120,26 @@ def test_raw_zone(spark, tmp_path):
     ).collect()
     assert [(r["id"], r["qty"], r["format"], len(r["day"])) for r in rows] == [("007", "x", "csv", 2)]
     assert rows[0]["_source_file"].endswith("a.csv")
+
+
+def test_folder_of_mixed_uploads(spark, tmp_path):
+    uploads = tmp_path / "uploads"
+    uploads.mkdir()
+    (uploads / "orders.csv").write_text(fixtures.orders_csv())
+    (uploads / "late.csv.gz").write_bytes(gzip.compress(fixtures.orders_csv().replace("ORD-", "GZ-").encode()))
+    (uploads / "events.json").write_text(fixtures.events_json())
+    more = "\n".join(json.dumps(r | {"event_id": r["event_id"] + "L"}) for r in json.loads(fixtures.events_json()))
+    (uploads / "more.jsonl").write_text(more)
+    (uploads / "report.xlsx").write_text("no data")
+    feeds = [
+        ingest.Feed("csv", ORDERS, readers.text_schema(ORDERS.columns)),
+        ingest.Feed("json", EVENTS, readers.text_schema(EVENTS.columns)),
+        ingest.Feed("jsonl", EVENTS, readers.text_schema(EVENTS.columns)),
+    ]
+    lake = str(tmp_path / "lake")
+    for _ in range(2):
+        ingest.ingest_feeds(spark, str(uploads), feeds, lake, str(tmp_path / "checkpoint"))
+    orders = batch.clean_rows(spark, lake, ORDERS)
+    assert {r["order_id"][:3] for r in orders.collect()} == {"ORD", "GZ-"}
+    assert (orders.count(), batch.clean_rows(spark, lake, EVENTS).count()) == (20, 16)
+    assert orders.filter("quantity IS NULL OR created_at IS NULL OR total_amount IS NULL").count() == 0
