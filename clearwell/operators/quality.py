@@ -57,7 +57,8 @@ def reason_histogram(quarantine: DataFrame) -> DataFrame:
 
 
 def _rate(clean: Column, raw: Column) -> Column:
-    return F.when(raw > 0, F.round(clean.cast("double") / raw * 100, 2)).otherwise(F.lit(0.0))
+    """Percent with two digits, a tie going to the even digit; 0 for no rows."""
+    return F.when(raw > 0, F.bround(clean.cast("double") / raw * 100, 2)).otherwise(F.lit(0.0))
 
 
 def _with_verdict(counts: DataFrame) -> DataFrame:
@@ -66,8 +67,24 @@ def _with_verdict(counts: DataFrame) -> DataFrame:
     )
 
 
-def quality_metrics(raw: DataFrame, clean: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """One row of counts and the pass rate for three separate frames, in one job."""
+def quality_metrics(marked: DataFrame) -> DataFrame:
+    """One row of counts and the pass rate, in one pass over marked rows (``mark_failures``)."""
+    good = F.col(REASON).isNull()
+    return _with_verdict(
+        marked.agg(
+            F.count(F.lit(1)).alias("raw_count"),
+            F.count_if(good).alias("clean_count"),
+            F.count_if(~good).alias("quarantine_count"),
+        )
+    )
+
+
+def frame_metrics(raw: DataFrame, clean: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """The same row for three frames that have no marks in common, in one job.
+
+    Each frame is computed for its count; ``raw`` may hold more rows than the
+    other two together, such as duplicates.
+    """
     parts = {"raw": raw, CLEAN: clean, QUARANTINE: quarantine}
     # One row per frame is all that the last aggregation sees.
     counted = [df.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(name)) for name, df in parts.items()]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -195,12 +195,17 @@ def register_lake_table(spark: SparkSession, lake: str, contract: Contract, data
 
 @dataclass(frozen=True)
 class Source:
-    """Landed files of one table; ``more`` is stacked under them by tidied column name."""
+    """Landed files of one table.
+
+    ``more`` is stacked under them by tidied column name; ``options`` go to the
+    reader.
+    """
 
     path: str
     fmt: str
     table: str
     more: DataFrame | None = None
+    options: Mapping[str, str] = field(default_factory=dict)
 
 
 def run_sources(
@@ -214,7 +219,7 @@ def run_sources(
 ) -> DataFrame:
     """Run a batch for each source; the summary has one row per source."""
     for source in sources:
-        df = read_source(spark, source.path, source.fmt, mode=mode)
+        df = read_source(spark, source.path, source.fmt, mode=mode, **source.options)
         if per_file:
             df = with_source_file(df)
         if source.more is not None:

@@ -35,8 +35,8 @@ _SQL_COUNTS = f"""
         FROM marked
     ),
     metrics AS (
-        SELECT *, round(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) AS pass_rate_pct,
-            round(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) < 80 AS below_threshold
+        SELECT *, round_even(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) AS pass_rate_pct,
+            round_even(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) < 80 AS below_threshold
         FROM counts
     )"""
 

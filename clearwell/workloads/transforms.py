@@ -171,20 +171,28 @@ def quarantine_reasons(t: Tables) -> DataFrame:
     return quality.reason_histogram(quarantine_rows(t))
 
 
-@query(f"""
+_SQL_QUALITY = f"""
     WITH {SQL_FAULTY_CUSTOMERS},
     counts AS (
         SELECT count(*) AS raw_count, count(*) FILTER (_quarantine_reason IS NULL) AS clean_count,
             count(_quarantine_reason) AS quarantine_count
         FROM marked
     )
-    SELECT *, round(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) AS pass_rate_pct,
-        round(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) < 80 AS below_threshold
+    SELECT *, round_even(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) AS pass_rate_pct,
+        round_even(CAST(clean_count AS DOUBLE) / raw_count * 100, 2) < 80 AS below_threshold
     FROM counts
-""")
+"""
+
+
+@query(_SQL_QUALITY)
 def quality_metrics(t: Tables) -> DataFrame:
+    return quality.quality_metrics(quality.mark_failures(shapes.faulty_customers(t), _NOT_NULL, _POSITIVE))
+
+
+@query(_SQL_QUALITY)
+def frame_metrics(t: Tables) -> DataFrame:
     raw = shapes.faulty_customers(t)
-    return quality.quality_metrics(raw, *quality.split_quarantine(raw, _NOT_NULL, _POSITIVE))
+    return quality.frame_metrics(raw, *quality.split_quarantine(raw, _NOT_NULL, _POSITIVE))
 
 
 @query("""

@@ -3,6 +3,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from clearwell.__main__ import main
 from clearwell.contracts import EVENTS, ORDERS, Contract, ContractError
 from clearwell.operators import shape
 from clearwell.plans import batch, reports
@@ -219,3 +220,12 @@ def test_hot_rows_and_hot_days(spark, tmp_path):
     assert (metrics["raw_count"], metrics["clean_count"]) == (n, n - n // 3 + 1)
     marks = batch.marked_rows(spark, str(tmp_path), ITEMS, "`date` string")
     assert marks.filter("id = 'hot'").select(shape.COPIES).first()[0] == n // 3
+
+
+def test_command_line(spark, tmp_path, capfd):
+    (tmp_path / "orders.csv").write_text(fixtures.orders_csv())
+    main([f"orders=csv:{tmp_path}/orders.csv", "--lake", f"{tmp_path}/lake", "--batch", "b1", "--mode", "text"])
+    assert batch.clean_rows(spark, f"{tmp_path}/lake", ORDERS).count() == 10
+    with pytest.raises(SystemExit):
+        main(["orders", "--lake", "x", "--batch", "b1"])
+    assert "table=format:path" in capfd.readouterr().err

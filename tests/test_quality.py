@@ -72,7 +72,7 @@ def test_every_row_is_on_one_side_with_its_first_failure(spark, rows):
 
 
 def _metrics(spark, raw, clean, bad):
-    return quality.quality_metrics(*[spark.range(n) for n in (raw, clean, bad)]).first()
+    return quality.frame_metrics(*[spark.range(n) for n in (raw, clean, bad)]).first()
 
 
 def test_metrics(spark):
@@ -81,10 +81,18 @@ def test_metrics(spark):
     assert (row["pass_rate_pct"], row["below_threshold"]) == (66.67, True)
     row = _metrics(spark, 0, 0, 0)
     assert (row["raw_count"], row["pass_rate_pct"]) == (0, 0.0)
+    assert _metrics(spark, 32, 29, 3)["pass_rate_pct"] == 90.62
     row = _metrics(spark, 2, 2, 0)
     assert (row["pass_rate_pct"], row["below_threshold"]) == (100.0, False)
 
 
+def test_metrics_of_marked_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", None)], "id string, amount double")
+    marked = quality.mark_failures(df, ("id",), ("amount",))
+    assert tuple(quality.quality_metrics(marked).first()) == (3, 2, 1, 66.67, True)
+    assert tuple(quality.quality_metrics(marked.limit(0)).first()) == (0, 0, 0, 0.0, True)
+
+
 def test_alert_line(spark, caplog):
     assert not _metrics(spark, 10, 8, 2)["below_threshold"]
     low = _metrics(spark, 100, 79, 21).asDict()
