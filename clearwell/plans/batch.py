@@ -107,7 +107,7 @@ def run_batch(
     spark = pin(df.sparkSession)
     path = table_path(lake, contract.name)
     with widened_shuffles(spark, input_bytes):
-        write_batch(mark_batch(df, contract, run_ts, strict), path, batch_id)
+        write_batch(mark_batch(df, contract, run_ts, strict), path, batch_id, input_bytes=input_bytes)
     written = read_partitioned(spark, batch_path(path, batch_id), _MARKS, _FOLDERS)
     metrics = zone_metrics(written).first().asDict()
     run = spark.range(0, 1, 1, 1).select(

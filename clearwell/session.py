@@ -111,16 +111,24 @@ def widened_shuffles(spark: SparkSession, input_bytes: int | None) -> Iterator[N
         yield
 
 
+def write_piece_bytes(spark: SparkSession, input_bytes: int | None) -> int:
+    """Shuffled bytes one writing task should get: enough for a good file, yet work for all cores."""
+    if not input_bytes:
+        return TARGET_PARTITION_BYTES
+    share = input_bytes * SHUFFLE_INFLATION // (2 * spark.sparkContext.defaultParallelism)
+    return max(32 * MB, min(share, 256 * MB))
+
+
 @contextmanager
-def write_sizes(spark: SparkSession) -> Iterator[None]:
+def write_sizes(spark: SparkSession, input_bytes: int | None = None) -> Iterator[None]:
     """Partition sizes that suit a write into many folders.
 
-    Large batches are cut into pieces of 256 MB of shuffled rows, which make files
-    of a good size. Small ones may use all cores: such a write costs by the file,
-    not by the byte, and by default AQE would leave all folders to one task.
+    A folder with more rows than a piece is cut over several tasks. Small batches
+    may use all cores: such a write costs by the file, not by the byte, and by
+    default AQE would leave all folders to one task.
     """
     with _restored(spark, _ADVISORY_SIZE, _MIN_PARTITION_SIZE):
-        spark.conf.set(_ADVISORY_SIZE, "256m")
+        spark.conf.set(_ADVISORY_SIZE, str(write_piece_bytes(spark, input_bytes)))
         spark.conf.set(_MIN_PARTITION_SIZE, "16k")
         yield
 

@@ -95,6 +95,7 @@ def write_batch(
     partitions: Sequence[str] = (ZONE, *DATE_PARTS),
     max_records_per_file: int = 0,
     cluster: bool = True,
+    input_bytes: int | None = None,
 ) -> None:
     """Write one batch into its own folder, in place of an earlier attempt.
 
@@ -109,7 +110,7 @@ def write_batch(
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partitions)
     )
-    with write_sizes(marked.sparkSession):
+    with write_sizes(marked.sparkSession, input_bytes):
         writer.parquet(batch_path(path, batch_id))
 
 

@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from clearwell.session import folder_bytes, initial_partitions, shared_folder, widened_shuffles
+from clearwell.session import MB, folder_bytes, initial_partitions, shared_folder, widened_shuffles, write_piece_bytes
 from clearwell.sources import readers
 
 ROWS = [{"id": n, "name": f"n{n}"} for n in range(3)]
@@ -97,6 +97,11 @@ def test_shuffles_grow_with_the_input(spark):
         assert spark.conf.get(key, None) == before
 
 
+def test_pieces_of_a_write(spark):
+    sizes = [write_piece_bytes(spark, n) for n in (None, 1, 320 * MB, 10**14)]
+    assert sizes == [128 * MB, 32 * MB, 60 * MB, 256 * MB]
+
+
 def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     one, two = shared_folder(spark, "a"), shared_folder(spark, "a")
