@@ -26,11 +26,11 @@ _SQL_COUNTS = f"""
     {SQL_MARKED_ORDERS},
     counts AS (
         SELECT
-            CAST((SELECT count(*) + count(*) FILTER (o_orderkey % 9 = 0) FROM orders) AS BIGINT) AS raw_count,
-            count(*) FILTER (reason IS NULL) AS clean_count,
-            count(reason) AS quarantine_count,
-            CAST(sum(copies - 1) + (SELECT copies - 1 FROM empty_rows) AS BIGINT) AS duplicate_count,
-            CAST(1 AS BIGINT) AS all_null_count,
+            CAST(sum(copies) AS BIGINT) AS raw_count,
+            count(*) FILTER (zone = 'clean') AS clean_count,
+            count(*) FILTER (zone = 'quarantine') AS quarantine_count,
+            CAST(sum(copies - 1) AS BIGINT) AS duplicate_count,
+            count(*) FILTER (zone = 'blank') AS all_null_count,
             CAST(sum(failures) AS BIGINT) AS cast_failure_count
         FROM marked
     ),
@@ -53,14 +53,14 @@ def _comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned}).drop(BATCH)
 
 
-@query(f"WITH {SQL_MARKED_ORDERS} SELECT {_DATA}, {_DATE} FROM marked WHERE reason IS NULL")
+@query(f"WITH {SQL_MARKED_ORDERS} SELECT {_DATA}, {_DATE} FROM marked WHERE zone = 'clean'")
 def batch_clean(t: Tables) -> DataFrame:
     return _comparable(batch.clean_rows(t.spark, _run(t), ORDERS, MESSY_EXTRAS))
 
 
 @query(f"""
     WITH {SQL_MARKED_ORDERS}
-    SELECT {_DATA}, reason AS _quarantine_reason, {_DATE} FROM marked WHERE reason IS NOT NULL
+    SELECT {_DATA}, reason AS _quarantine_reason, {_DATE} FROM marked WHERE zone = 'quarantine'
 """)
 def batch_quarantine(t: Tables) -> DataFrame:
     return _comparable(batch.quarantine_rows(t.spark, _run(t), ORDERS, MESSY_EXTRAS))
@@ -74,9 +74,7 @@ def batch_metrics(t: Tables) -> DataFrame:
 
 @query(f"""
     WITH {SQL_MARKED_ORDERS}
-    SELECT 'clean' AS zone, {_DATA}, CAST(NULL AS VARCHAR) AS _quarantine_reason, {_DATE} FROM marked WHERE reason IS NULL
-    UNION ALL
-    SELECT 'quarantine', {_DATA}, reason, {_DATE} FROM marked WHERE reason IS NOT NULL
+    SELECT zone, {_DATA}, reason AS _quarantine_reason, {_DATE} FROM marked WHERE zone <> 'blank'
 """)
 def batch_rerun(t: Tables) -> DataFrame:
     """A second run of the same batch id replaces the rows of the first."""
@@ -92,9 +90,9 @@ def batch_rerun(t: Tables) -> DataFrame:
 @query(f"""
     WITH {SQL_MARKED_ORDERS}
     SELECT CAST(NULL AS VARCHAR) AS source, {_DATA}, CAST(NULL AS VARCHAR) AS _quarantine_reason, {_DATE}
-    FROM marked WHERE reason IS NULL
+    FROM marked WHERE zone = 'clean'
     UNION ALL
-    SELECT 'csv', {_DATA}, reason, {_DATE} FROM marked WHERE reason IS NOT NULL
+    SELECT 'csv', {_DATA}, reason, {_DATE} FROM marked WHERE zone = 'quarantine'
 """)
 def batch_published(t: Tables) -> DataFrame:
     """Clean and quarantine folders apart, the latter by source; the second call changes nothing."""
@@ -116,7 +114,7 @@ _REVENUE_SQL = """
 
 
 @query(f"""
-    WITH {SQL_MARKED_ORDERS}, good AS (SELECT * FROM marked WHERE reason IS NULL) {_REVENUE_SQL.format(orders="good")}
+    WITH {SQL_MARKED_ORDERS}, good AS (SELECT * FROM marked WHERE zone = 'clean') {_REVENUE_SQL.format(orders="good")}
 """)
 def sql_report(t: Tables) -> DataFrame:
     """A report as SQL text on the catalog view of the clean rows."""
@@ -132,7 +130,7 @@ def sql_report(t: Tables) -> DataFrame:
         CAST(sum(CAST(total_amount AS DECIMAL(18, 2))) AS DOUBLE) AS daily_revenue,
         CAST(sum(CAST(total_amount AS DECIMAL(18, 2))) AS DOUBLE) / count(total_amount) AS avg_order_value,
         count(DISTINCT customer_id) AS unique_customers
-    FROM marked WHERE reason IS NULL AND status <> 'F' GROUP BY {_DATE}
+    FROM marked WHERE zone = 'clean' AND status <> 'F' GROUP BY {_DATE}
 """)
 def batch_daily_revenue(t: Tables) -> DataFrame:
     """From a careless upload to the revenue report: raw rows, batch, clean table, report."""

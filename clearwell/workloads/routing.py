@@ -39,18 +39,17 @@ def notifications(t: Tables) -> DataFrame:
 
 
 _SQL_UPLOADS = f"""
-    uploads AS (
-        SELECT '{_BUCKET}' AS bucket,
-            CASE WHEN page_id % 7 = 3 THEN 0 ELSE length(html) END AS size,
-            'uploads/' || page_id || ' ' || regexp_extract(url, '//([^/]+)', 1)
-                || {sql_pick(f"page_id % {len(_DECODED)}", _DECODED)} AS original_key
-        FROM pages WHERE page_id % 13 <> 0
-        UNION ALL
-        SELECT '{_BUCKET}',
-            CASE WHEN page_id % 3 = 0 THEN 0 WHEN page_id % 7 = 3 THEN 1 ELSE length(html) + 1 END,
-            'logs/' || CAST(page_id // 2 AS VARCHAR) || '.csv'
-        FROM pages WHERE page_id % 13 <> 0
-    )"""
+    records AS (
+        SELECT unnest(CASE WHEN page_id % 13 = 0 THEN [] ELSE [
+            {{'key': 'uploads/' || page_id || ' ' || regexp_extract(url, '//([^/]+)', 1)
+                || {sql_pick(f"page_id % {len(_DECODED)}", _DECODED)},
+              'size': CASE WHEN page_id % 7 = 3 THEN 0 ELSE length(html) END}},
+            {{'key': 'logs/' || CAST(page_id // 2 AS VARCHAR) || '.csv',
+              'size': CASE WHEN page_id % 3 = 0 THEN 0 WHEN page_id % 7 = 3 THEN 1 ELSE length(html) + 1 END}}
+        ] END) AS r
+        FROM pages
+    ),
+    uploads AS (SELECT '{_BUCKET}' AS bucket, r.size AS size, r.key AS original_key FROM records)"""
 _EXTENSION = r"^\.*[^.].*?(\.[^.]*)$"
 _SQL_VERDICTS = f"""
     {_SQL_UPLOADS},

@@ -105,44 +105,50 @@ def messy_orders(t: Tables) -> DataFrame:
 
 # The same rows after names, duplicates, types, dates and rules.
 SQL_MARKED_ORDERS = f"""
-    raw AS (
+    filled AS (SELECT * REPLACE (CASE WHEN o_orderkey % 101 <> 0 THEN o_orderkey END AS o_orderkey),
+        CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END AS copies FROM orders),
+    text_rows AS (
         SELECT
             CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id,
-            CAST(o_custkey AS VARCHAR) AS customer_id,
-            o_orderpriority AS product_name,
+            CASE WHEN o_orderkey IS NOT NULL THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+            CASE WHEN o_orderkey IS NOT NULL THEN o_orderpriority END AS product_name,
             CASE WHEN o_orderkey % 97 = 0 THEN 'x1' WHEN o_orderkey % 31 = 0 THEN '0'
                  WHEN o_orderkey % 29 <> 0 THEN CAST(o_orderkey % 7 + 1 AS VARCHAR) END AS quantity,
             CASE WHEN o_orderkey % 41 = 0 THEN '-1.5'
-                 ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS total_amount,
-            o_orderstatus AS status,
+                 WHEN o_orderkey IS NOT NULL THEN CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)
+                 END AS total_amount,
+            CASE WHEN o_orderkey IS NOT NULL THEN o_orderstatus END AS status,
             CASE WHEN o_orderkey % 53 <> 0 THEN strftime(o_orderdate, '%Y-%m-01 00:00:00') END AS created_at,
             'n' || CAST(o_orderkey % 3 AS VARCHAR) AS note,
-            CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END AS copies
-        FROM orders WHERE o_orderkey % 101 <> 0
-    ),
-    empty_rows AS (
-        SELECT sum(CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END) AS copies
-        FROM orders WHERE o_orderkey % 101 = 0
+            copies
+        FROM filled
     ),
     deduped AS (
         SELECT order_id, customer_id, product_name, quantity, total_amount, status, created_at, note,
             CAST(sum(copies) AS BIGINT) AS copies
-        FROM raw GROUP BY ALL
+        FROM text_rows GROUP BY ALL
     ),
     typed AS (
         SELECT order_id, customer_id, product_name, TRY_CAST(quantity AS INTEGER) AS quantity,
             CAST(NULL AS DOUBLE) AS unit_price, TRY_CAST(total_amount AS DOUBLE) AS total_amount, status,
             TRY_CAST(created_at AS TIMESTAMP) AS created_at, note, copies,
-            CASE WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS INTEGER) IS NULL THEN 1 ELSE 0 END AS failures
+            CASE WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS INTEGER) IS NULL THEN 1 ELSE 0 END AS failures,
+            coalesce(order_id, customer_id, product_name, quantity, total_amount, status, created_at, note) IS NULL
+                AS blank
         FROM deduped
     ),
-    marked AS (
+    ruled AS (
         SELECT *, {SQL_DATE_PARTS.format("created_at")},
-            CASE WHEN order_id IS NULL THEN 'null:order_id'
+            CASE WHEN blank THEN NULL
+                 WHEN order_id IS NULL THEN 'null:order_id'
                  WHEN customer_id IS NULL THEN 'null:customer_id'
                  WHEN quantity <= 0 THEN 'non_positive:quantity'
                  WHEN total_amount <= 0 THEN 'non_positive:total_amount' END AS reason
         FROM typed
+    ),
+    marked AS (
+        SELECT *, CASE WHEN blank THEN 'blank' WHEN reason IS NULL THEN 'clean' ELSE 'quarantine' END AS zone
+        FROM ruled
     )"""
 MESSY_EXTRAS = "`note` string"
 
