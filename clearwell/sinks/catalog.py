@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clearwell.functions.values import DATE_PARTS
 from clearwell.sources.readers import list_uploads
@@ -33,7 +34,8 @@ def register_table(
 ) -> None:
     """Define a table over a partitioned Parquet folder and pick up its folders.
 
-    ``schema`` lists the data columns; partition columns are strings.
+    ``schema`` lists the data columns; partition columns are strings. A table that
+    exists gets the columns of ``schema`` it lacks.
     """
     folder_columns = ", ".join(f"`{name}` string" for name in partitions)
     by = ", ".join(f"`{name}`" for name in partitions)
@@ -41,6 +43,7 @@ def register_table(
         f"CREATE TABLE IF NOT EXISTS {table} ({schema}, {folder_columns}) USING parquet"
         f" PARTITIONED BY ({by}) LOCATION '{_escaped(path)}'"
     )
+    add_columns(spark, table, [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(schema)])
     spark.catalog.recoverPartitions(table)
 
 
@@ -70,13 +73,13 @@ def stale_partitions(spark: SparkSession, table: str, seen: DataFrame) -> DataFr
     return spark.sql(f"SHOW PARTITIONS {table}").join(seen, "partition", "left_anti")
 
 
-def add_columns(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
-    """Add the columns of ``df`` the table lacks; existing ones stay as they are."""
+def add_columns(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]]) -> list[str]:
+    """Add the (name, type) pairs the table lacks, such as ``df.dtypes``; existing columns stay as they are."""
     known = {name.lower() for name in spark.table(table).columns}
-    new = [(name, kind) for name, kind in df.dtypes if name.lower() not in known]
+    new = [(name, kind) for name, kind in columns if name.lower() not in known]
     if new:
-        columns = ", ".join(f"`{name}` {kind}" for name, kind in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        listed = ", ".join(f"`{name}` {kind}" for name, kind in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
     return [name for name, _ in new]
 
 

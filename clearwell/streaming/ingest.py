@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ from clearwell.session import folder_bytes, pin
 from clearwell.sinks.writers import write_batch
 from clearwell.sources.readers import name_glob, stream_source
 
+log = logging.getLogger(__name__)
+
 
 def for_each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Hand every micro-batch of what is available now to ``write``, then stop.
@@ -117,7 +120,7 @@ def deduplicate_stream(stream: DataFrame, ids: Sequence[str], event_time: str, d
     """Drop repeated ids across files, as long as they come within ``delay``.
 
     State is kept for that time only. Rows older than the watermark are dropped by
-    the engine and counted in the query progress. The state is split into
+    the engine and counted in the query progress (``late_rows``). The state is split into
     ``spark.sql.shuffle.partitions`` parts when the checkpoint is made, for good.
     """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(ids))
@@ -133,13 +136,23 @@ def append_available(
 ) -> None:
     """Write what a stream has now, one folder per micro-batch.
 
-    A replayed micro-batch replaces its own folder.
+    A replayed micro-batch replaces its own folder. Rows a watermark shut out are
+    logged as a warning.
     """
 
     def write(df: DataFrame, batch: int) -> None:
         write_batch(df, path, f"{batch_prefix}{batch:08d}", partitions, cluster=cluster)
 
-    for_each_batch(stream, checkpoint, write).awaitTermination()
+    query = for_each_batch(stream, checkpoint, write)
+    query.awaitTermination()
+    late = late_rows(query)
+    if late:
+        log.warning("%d rows came after the watermark and were dropped", late)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the state operators of a query dropped as too late, in its recent micro-batches."""
+    return sum(state.numRowsDroppedByWatermark for batch in query.recentProgress for state in batch.stateOperators)
 
 
 def land_raw(

@@ -213,6 +213,6 @@ def catalog_new_column(t: Tables) -> DataFrame:
     table = _new_table(t, path)
     newer = events.filter(~early).withColumn("channel", F.lit("web"))
     writers.write_clean(newer, path)
-    catalog.add_columns(t.spark, table, newer)
+    catalog.add_columns(t.spark, table, newer.dtypes)
     catalog.refresh_table(t.spark, table)
     return readers.read_table(t.spark, table)

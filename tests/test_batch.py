@@ -203,10 +203,26 @@ def test_sql_on_the_lake(spark, lake, tmp_path):
     assert spark.table("samples_db.orders").columns == [*ORDERS.columns, "year", "month", "day"]
     assert spark.table("samples_db.orders").count() == 11
     assert spark.table("samples_db.orders_quarantine").count() == 2
+    shares = spark.sql(
+        "SELECT status, round(100D * count(*) / sum(count(*)) OVER (), 2) AS pct FROM samples_db.orders GROUP BY status"
+    )
+    assert {r["status"]: r["pct"] for r in shares.collect()}["completed"] == 54.55
     got = spark.sql("SELECT count(DISTINCT user_id) FROM samples_db.events WHERE event_type = 'page_view'").first()
     assert got[0] == 3
 
 
+def test_new_batches_and_columns_reach_the_tables(spark, tmp_path):
+    database = catalog.ensure_database(spark, "growing_db", str(tmp_path / "db"))
+    lake = str(tmp_path / "lake")
+    _run(spark, [("a", "1")], lake, "b1")
+    batch.register_lake_table(spark, lake, ITEMS, database)
+    batch.run_batch(spark.createDataFrame([("b", "2", "n")], "id string, qty string, note string"), ITEMS, lake, "b2")
+    assert spark.table("growing_db.items").count() == 1
+    batch.register_lake_table(spark, lake, ITEMS, database, "`note` string")
+    rows = spark.table("growing_db.items").orderBy("id").collect()
+    assert [(r["id"], r["qty"], r["note"]) for r in rows] == [("a", 1, None), ("b", 2, "n")]
+
+
 def test_hot_rows_and_hot_days(spark, tmp_path):
     """A third of the rows are copies of one row, another third fall on one day."""
     n = 30_000

@@ -89,8 +89,8 @@ def test_table_over_a_folder(spark, dated, tmp_path, caplog):
 
     newer = dated.filter("month = '11'").withColumn("note", F.lit("n"))
     writers.write_clean(newer, str(path))
-    assert catalog.add_columns(spark, table, newer) == ["note"]
-    assert catalog.add_columns(spark, table, newer) == []
+    assert catalog.add_columns(spark, table, newer.dtypes) == ["note"]
+    assert catalog.add_columns(spark, table, newer.dtypes) == []
     catalog.refresh_table(spark, table)
     assert {r["id"]: r["note"] for r in spark.table(table).collect()} == {0: None, 1: None, 2: None, 3: "n"}
 

@@ -82,7 +82,7 @@ def test_bad_rows_of_a_stream_are_kept_apart(spark, tmp_path, take):
     assert {r["_quarantine_reason"] for r in bad.collect()} == {"null:user_id"}
 
 
-def test_dedup_across_files(spark, tmp_path):
+def test_dedup_across_files(spark, tmp_path, caplog):
     schema = "id string, ts timestamp"
     landing, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
 
@@ -102,6 +102,10 @@ def test_dedup_across_files(spark, tmp_path):
     assert take() == ["a", "b"]
     land(("a", "2024-01-01 10:20:00"), ("c", "2024-01-01 10:30:00"))
     assert take() == ["a", "b", "c"]
+    assert "watermark" not in caplog.text
+    land(("d", "2024-01-01 08:00:00"), ("e", "2024-01-01 10:40:00"))
+    assert take() == ["a", "b", "c", "e"]
+    assert "1 rows came after the watermark" in caplog.text
 
 
 def test_raw_zone(spark, tmp_path):
