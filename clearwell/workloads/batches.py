@@ -143,7 +143,7 @@ def _raw_events(t: Tables) -> DataFrame:
 
 @query(f"""
     WITH {_SQL_COUNTS}
-    SELECT 'orders' AS table, * FROM metrics
+    SELECT 'orders' AS table_name, * FROM metrics
     UNION ALL
     SELECT 'events', count(*), count(*), 0, 0, 0, 0, 100, false FROM events
 """)
@@ -159,7 +159,8 @@ def run_summary(t: Tables) -> DataFrame:
         batch.Source(orders, "csv", "orders", more=raw.filter(empty)),
         batch.Source(events, "jsonl", "events"),
     ]
-    return batch.run_sources(t.spark, sources, lake, _BATCH_ID, mode="text").drop(BATCH)
+    summary = batch.run_sources(t.spark, sources, lake, _BATCH_ID, mode="text")
+    return summary.withColumnRenamed("table", "table_name").drop(BATCH)
 
 
 _EVENT_COLUMNS = ("event_id", "user_id", "event_type", "session_id", "device", "country", "timestamp")

@@ -1,6 +1,8 @@
 from datetime import UTC, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clearwell.__main__ import main
@@ -118,8 +120,9 @@ def test_unknown_status_is_in_no_revenue(spark):
 
 
 def test_average_leaves_out_missing_amounts(spark):
-    rows = [("a", "x", 10.0, "2024", "01", "01"), ("b", "x", None, "2024", "01", "01"), ("c", "x", None, "2024", "01", "02")]
-    df = spark.createDataFrame(rows, "customer_id string, status string, total_amount double, year string, month string, day string")
+    rows = [("a", "x", 10.0, "01"), ("b", "x", None, "01"), ("c", "x", None, "02")]
+    df = spark.createDataFrame(rows, "customer_id string, status string, total_amount double, day string")
+    df = df.selectExpr("*", "'2024' AS year", "'01' AS month")
     got = [(r["total_orders"], r["daily_revenue"], r["avg_order_value"]) for r in reports.daily_revenue(df).collect()]
     assert got == [(2, 10.0, 10.0), (1, None, None)]
 
@@ -154,6 +157,21 @@ def test_rerun_replaces_and_other_batches_stay(spark, tmp_path):
     assert runs == {"b1": 3, "b2": 1}
 
 
+def test_failed_run_is_made_good_by_the_next(spark, tmp_path):
+    rows = spark.range(5000).select(
+        F.col("id").cast("string").alias("id"),
+        F.lit("1").alias("qty"),
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0")).alias("date"),
+    )
+    broken = rows.withColumn("qty", F.when(F.col("id") == "4999", F.raise_error(F.lit("disk gone"))).otherwise("1"))
+    lake = str(tmp_path)
+    batch.run_batch(rows.filter("id < 10"), ITEMS, lake, "b1")
+    with pytest.raises(Exception, match="disk gone"):
+        batch.run_batch(broken, ITEMS, lake, "b1")
+    assert batch.run_batch(rows, ITEMS, lake, "b1")["clean_count"] == 5000
+    assert batch.clean_rows(spark, lake, ITEMS).select("id").distinct().count() == 5000
+
+
 def test_empty_batch(spark, tmp_path):
     metrics = _run(spark, [], tmp_path)
     assert (metrics["raw_count"], metrics["pass_rate_pct"], metrics["below_threshold"]) == (0, 0.0, True)
@@ -230,7 +248,9 @@ def test_hot_rows_and_hot_days(spark, tmp_path):
     raw = spark.range(n).select(
         F.when(key % 3 == 0, "hot").otherwise(key.cast("string")).alias("id"),
         F.lit("1").alias("qty"),
-        F.when(key % 3 < 2, "2024-01-01").otherwise(F.concat(F.lit("2024-02-"), F.lpad((key % 28 + 1).cast("string"), 2, "0"))).alias("date"),
+        F.when(key % 3 < 2, "2024-01-01")
+        .otherwise(F.concat(F.lit("2024-02-"), F.lpad((key % 28 + 1).cast("string"), 2, "0")))
+        .alias("date"),
     )
     metrics = batch.run_batch(raw, ITEMS, str(tmp_path), "b1")
     assert (metrics["raw_count"], metrics["clean_count"]) == (n, n - n // 3 + 1)
@@ -245,3 +265,57 @@ def test_command_line(spark, tmp_path, capfd):
     with pytest.raises(SystemExit):
         main(["orders", "--lake", "x", "--batch", "b1"])
     assert "table=format:path" in capfd.readouterr().err
+
+
+def _number(text):
+    try:
+        value = float(text)
+    except (TypeError, ValueError):
+        return None
+    return int(value) if abs(value) < 2**31 else None
+
+
+def _by_hand(rows):
+    """What a batch of (id, qty, date) text rows must come to, row by row."""
+    zones = {}
+    for row in set(rows):
+        key, qty, date = row
+        number = _number(qty)
+        if row == (None, None, None):
+            zone = ("blank", None)
+        elif key is None:
+            zone = ("quarantine", "null:id")
+        elif number is not None and number <= 0:
+            zone = ("quarantine", "non_positive:qty")
+        else:
+            zone = ("clean", None)
+        parts = (date[:4], date[5:7], date[8:10]) if date and date[0].isdigit() else (None, None, None)
+        failed = int(qty is not None and number is None)
+        zones.setdefault((key, number, date, *zone, *parts, rows.count(row), failed), 0)
+        zones[(key, number, date, *zone, *parts, rows.count(row), failed)] += 1
+    return zones
+
+
+TEXT_ROW = st.tuples(
+    st.sampled_from([None, "a", "b"]),
+    st.sampled_from([None, "1", "0", "-3", "2.0", "x", "", "99999999999", " 7 "]),
+    st.sampled_from([None, "2024-01-05", "2023-12-31 23:59:59", "soon"]),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TEXT_ROW, min_size=1, max_size=80))
+def test_batches_by_hand(spark, rows):
+    raw = spark.createDataFrame(rows, "`ID` string, `Qty` string, `Date` string")
+    marked = batch.mark_batch(raw, ITEMS)
+    shown = marked.select(
+        "id", "qty", "date", "_zone", "_quarantine_reason", "year", "month", "day", "_copies", "_cast_failures"
+    )
+    got = {}
+    for row in shown.collect():
+        got[tuple(row)] = got.get(tuple(row), 0) + 1
+    assert got == _by_hand(rows)
+    metrics = batch.zone_metrics(marked).first()
+    assert metrics["raw_count"] == len(rows)
+    accounted = ("duplicate_count", "all_null_count", "clean_count", "quarantine_count")
+    assert sum(metrics[name] for name in accounted) == len(rows)

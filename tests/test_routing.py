@@ -1,3 +1,4 @@
+import json
 import os
 import urllib.parse
 from datetime import UTC, datetime
@@ -66,9 +67,9 @@ def test_skipped(spark, key, size, reason):
 
 def test_notifications(spark):
     def record(key, **more):
-        return f'{{"eventName": "Put", "s3": {{"bucket": {{"name": "b"}}, "object": {{"key": "{key}"{more.get("size", "")}}}}}}}'
+        return {"eventName": "Put", "s3": {"bucket": {"name": "b"}, "object": {"key": key, **more}}}
 
-    two = '{"Records": [' + record("uploads/a+b%20c.CSV", size=', "size": 7, "eTag": "x"') + "," + record("uploads/n.json") + "]}"
+    two = json.dumps({"Records": [record("uploads/a+b%20c.CSV", size=7, eTag="x"), record("uploads/n.json")]})
     df = spark.createDataFrame([(two,), ("{}",), ('{"Records": []}',), ("not json",), (None,)], "value string")
     rows = routing.decode_keys(routing.read_notifications(df)).collect()
     assert {(r["bucket"], r["original_key"], r["size"]) for r in rows} == {

@@ -17,8 +17,7 @@ COLUMNS = ("event_id", "user_id", "event_type", "timestamp")
 def _file(landing, name, ids, user="u"):
     landing.mkdir(exist_ok=True)
     rows = [
-        {"event_id": f"e{i}", "user_id": user, "event_type": "click", "timestamp": f"2024-01-{i % 28 + 1:02d}T00:00:00Z"}
-        for i in ids
+        dict(zip(COLUMNS, (f"e{i}", user, "click", f"2024-01-{i % 28 + 1:02d}T00:00:00Z"), strict=True)) for i in ids
     ]
     (landing / name).write_text("\n".join(json.dumps(r) for r in rows))
 
@@ -87,9 +86,8 @@ def test_dedup_across_files(spark, tmp_path, caplog):
     landing, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
 
     def land(*rows):
-        spark.createDataFrame(rows, "id string, ts string").selectExpr("id", "cast(ts as timestamp) ts").coalesce(1).write.mode(
-            "append"
-        ).parquet(landing)
+        df = spark.createDataFrame(rows, "id string, ts string").selectExpr("id", "cast(ts as timestamp) ts")
+        df.coalesce(1).write.mode("append").parquet(landing)
 
     def take():
         stream = readers.stream_source(spark, landing, "parquet", schema)
