@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import add
 
@@ -15,8 +16,9 @@ _INTEGERS = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 DATE_CANDIDATES = ("created_at", "timestamp", "event_time", "date", "updated_at")
 DATE_PARTS = ("year", "month", "day")
 
-# The widest type of whole ten-thousandths that still fits a machine word.
-MONEY = "decimal(18,4)"
+# Decimal places money is added up with.
+MONEY_DIGITS = 4
+_LOW_BITS = 20
 
 
 def safe_cast(value: Column, from_type: str, to_type: str) -> Column:
@@ -47,9 +49,18 @@ def date_parts(moment: Column) -> list[Column]:
     ]
 
 
-def exact_sum(amount: Column, money: str = MONEY) -> Column:
-    """Sum whose result does not depend on the order rows arrive in.
+def exact_sum(amount: Column, digits: int | None = MONEY_DIGITS) -> Column:
+    """Sum of doubles to ``digits`` decimal places, the same for any order of the rows.
 
-    ``money="double"`` adds up floating-point numbers as they come instead.
+    Amounts become whole units, whose low bits and remaining bits are added up
+    apart: two sums of plain integers, several times faster than a decimal sum,
+    with room for trillions of rows. What does not fit fails the job.
+    ``digits=None`` adds up the doubles as they come.
     """
-    return F.sum(amount.cast(money))
+    if digits is None:
+        return F.sum(amount.cast("double"))
+    units = F.rint(amount.cast("double") * float(10**digits)).cast("bigint")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast("decimal(20,0)")
+    whole = high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
+    return whole * F.lit(Decimal(1).scaleb(-digits))

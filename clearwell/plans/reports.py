@@ -1,10 +1,9 @@
 """Reports over clean orders and events.
 
 Each takes contract-shaped rows and returns a lazy DataFrame. Values that mean
-"cancelled", "completed" or "viewed" are parameters. Sums of money go through
-``decimal``, so a report does not change with the order rows arrive in. Digits
-beyond the scale of the ``money`` type are rounded; a value that is too large for
-it fails the job.
+"cancelled", "completed" or "viewed" are parameters. Sums of money are exact to
+``digits`` decimal places, so a report does not change with the order rows arrive
+in.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearwell.functions.values import DATE_PARTS, MONEY, exact_sum
+from clearwell.functions.values import DATE_PARTS, MONEY_DIGITS, exact_sum
 
 
 def _rows() -> Column:
@@ -24,7 +23,7 @@ def not_cancelled(orders: DataFrame, cancelled: str = "cancelled") -> DataFrame:
     return orders.filter(F.col("status") != cancelled)
 
 
-def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", money: str = MONEY) -> DataFrame:
+def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", digits: int | None = MONEY_DIGITS) -> DataFrame:
     """Orders, revenue, average value and customers per day."""
     amount = F.col("total_amount")
     totals = (
@@ -32,7 +31,7 @@ def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", money: str =
         .groupBy(*DATE_PARTS)
         .agg(
             _rows().alias("total_orders"),
-            exact_sum(amount, money).cast("double").alias("daily_revenue"),
+            exact_sum(amount, digits).cast("double").alias("daily_revenue"),
             F.count(amount).alias("amounts"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
@@ -46,13 +45,13 @@ def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", money: str =
     ).orderBy(*DATE_PARTS)
 
 
-def revenue_by_day(orders: DataFrame, cancelled: str = "cancelled", money: str = MONEY) -> DataFrame:
+def revenue_by_day(orders: DataFrame, cancelled: str = "cancelled", digits: int | None = MONEY_DIGITS) -> DataFrame:
     """Revenue per day."""
-    revenue = exact_sum(F.col("total_amount"), money).cast("double").alias("revenue")
+    revenue = exact_sum(F.col("total_amount"), digits).cast("double").alias("revenue")
     return not_cancelled(orders, cancelled).groupBy(*DATE_PARTS).agg(revenue).orderBy(*DATE_PARTS)
 
 
-def product_totals(orders: DataFrame, key: str, completed: str = "completed", money: str = MONEY) -> DataFrame:
+def product_totals(orders: DataFrame, key: str, completed: str = "completed", digits: int | None = MONEY_DIGITS) -> DataFrame:
     """Order count, units and revenue of completed orders per value of ``key``."""
     return (
         orders.filter(F.col("status") == completed)
@@ -60,7 +59,7 @@ def product_totals(orders: DataFrame, key: str, completed: str = "completed", mo
         .agg(
             _rows().alias("order_count"),
             F.sum(F.col("quantity").cast("bigint")).alias("units_sold"),
-            exact_sum(F.col("total_amount"), money).alias("total_revenue"),
+            exact_sum(F.col("total_amount"), digits).alias("total_revenue"),
         )
     )
 
@@ -83,17 +82,17 @@ def top_of_totals(totals: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def top_products(orders: DataFrame, completed: str = "completed", k: int = 10, money: str = MONEY) -> DataFrame:
+def top_products(orders: DataFrame, completed: str = "completed", k: int = 10, digits: int | None = MONEY_DIGITS) -> DataFrame:
     """The ``k`` products with the highest revenue."""
     return (
-        product_totals(orders, "product_name", completed, money)
+        product_totals(orders, "product_name", completed, digits)
         .withColumn("total_revenue", F.col("total_revenue").cast("double"))
         .orderBy(F.desc("total_revenue"), "product_name")
         .limit(k)
     )
 
 
-def customer_history(orders: DataFrame, money: str = MONEY) -> DataFrame:
+def customer_history(orders: DataFrame, digits: int | None = MONEY_DIGITS) -> DataFrame:
     """Orders, value, first and last order of each customer, best first.
 
     The customer id breaks ties; it also lets the sort split equal values.
@@ -102,7 +101,7 @@ def customer_history(orders: DataFrame, money: str = MONEY) -> DataFrame:
         orders.groupBy("customer_id")
         .agg(
             _rows().alias("total_orders"),
-            exact_sum(F.col("total_amount"), money).cast("double").alias("lifetime_value"),
+            exact_sum(F.col("total_amount"), digits).cast("double").alias("lifetime_value"),
             F.min("created_at").alias("first_order"),
             F.max("created_at").alias("last_order"),
         )

@@ -1,4 +1,5 @@
 from datetime import UTC, datetime
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clearwell.__main__ import main
 from clearwell.contracts import EVENTS, ORDERS, Contract, ContractError
+from clearwell.functions.values import exact_sum
 from clearwell.operators import shape
 from clearwell.plans import batch, reports
 from clearwell.sinks import catalog
@@ -127,6 +129,22 @@ def test_average_leaves_out_missing_amounts(spark):
     assert got == [(2, 10.0, 10.0), (1, None, None)]
 
 
+def test_sums_do_not_depend_on_order(spark):
+    amounts = [0.1, 0.2, -0.3, 1e11, 0.0001, -1e11, 299.99, -0.00004, None]
+    exact = sum(Decimal(str(a)).quantize(Decimal("0.0001")) for a in amounts if a is not None)
+    for order in (amounts, amounts[::-1], sorted(amounts, key=lambda a: (a is None, a))):
+        df = spark.createDataFrame([(a,) for a in order], "a double")
+        assert df.agg(exact_sum(F.col("a"))).first()[0] == exact
+    column = F.col("a")
+    many = spark.range(3_000_000).select((F.col("id") % 1000 / 100 - 3).alias("a"))
+    got = many.agg(exact_sum(column), exact_sum(column, 2), exact_sum(column, None)).first()
+    assert got[0] == got[1] == 3000 * (sum(range(1000)) - 300_000) / 100
+    assert abs(got[2] - float(got[0])) < 1
+    assert df.limit(0).agg(exact_sum(column)).first()[0] is None
+    with pytest.raises(Exception, match="OVERFLOW"):
+        spark.createDataFrame([(1e30,)], "a double").agg(exact_sum(column)).collect()
+
+
 RAW = [("a", "1"), ("a", "1"), ("b", "0"), ("b", None), (None, None), (None, None), (None, "0"), ("c", "x")]
 
 

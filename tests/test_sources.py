@@ -1,5 +1,6 @@
 import gzip
 import json
+from types import SimpleNamespace
 
 import pytest
 
@@ -108,3 +109,14 @@ def test_shared_folder_follows_the_session(spark):
     assert one != two
     if root:
         assert one.startswith(root)
+
+
+def _session(master):
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_only_local_sessions_may_do_without_a_shared_folder():
+    assert shared_folder(_session("local[2]"), "x") != shared_folder(_session("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_session("yarn"), "x")
