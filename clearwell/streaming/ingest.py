@@ -58,7 +58,8 @@ def ingest_available(
     Duplicates are removed within a file, so the result does not depend on how
     files are grouped into micro-batches; ``per_file=False`` widens that to the
     micro-batch. ``prepare`` maps the read rows to the raw columns of the table.
-    ``max_files`` or ``max_bytes`` cuts a backlog into several micro-batches.
+    ``max_files`` or ``max_bytes`` cuts a backlog into several micro-batches; the
+    latter also bounds the shuffles, which else follow the size of the folder.
     """
     pin(spark)
     waiting = folder_bytes(spark, path)
