@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearwell.llm import minhash_dedup
+from clearwell.llm import embedding_dedup, minhash_dedup, quality_model
 from clearwell.llm.common import ship_code, table
 
 
@@ -14,6 +14,14 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def _on_executors(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -22,5 +30,12 @@ def _on_executors(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return query
 
 
-QUERIES = {run.__name__: _on_executors(run) for run in (op1_minhash_dedup,)}
+QUERIES = {
+    run.__name__: _on_executors(run)
+    for run in (
+        op1_minhash_dedup,
+        op2_quality_classifier,
+        op9_embedding_dedup,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
