@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clearwell.llm import embedding_dedup, minhash_dedup, quality_model
+from clearwell.llm import bestfit_packing, embedding_dedup, minhash_dedup, quality_model, token_output
 from clearwell.llm.common import ship_code, table
 
 
@@ -18,6 +19,24 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _tokenizer() -> str:
+    """The public vocabulary file that the packing contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit_packing.packed(table(spark, sf_dir, "documents"), _tokenizer())
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of each sequence stands for its ids and positions, which ``write_matrices`` writes whole."""
+    rows = token_output.packed_matrices(table(spark, sf_dir, "documents"), _tokenizer())
+    digests = [F.crc32(c).alias(f"{c}_crc32") for c in ("ids", "positions")]
+    return rows.select("sequence_id", "n_tokens", "doc_ids", "pieces", "cumulative_lengths", *digests)
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -35,6 +54,8 @@ QUERIES = {
     for run in (
         op1_minhash_dedup,
         op2_quality_classifier,
+        op3_bestfit_packing,
+        op8_token_output,
         op9_embedding_dedup,
     )
 }
