@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm import bestfit_packing, embedding_dedup, minhash_dedup, quality_model, token_output
+from clearwell.llm import (
+    bestfit_packing,
+    decontamination,
+    embedding_dedup,
+    minhash_dedup,
+    quality_model,
+    token_counts,
+    token_output,
+)
 from clearwell.llm.common import ship_code, table
 
 
@@ -19,17 +27,25 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def _tokenizer() -> str:
-    """The public vocabulary file that the packing contract names."""
+def _tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary file; the packing contract names this one."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_packing.packed(table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.corpus_counts(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest of each sequence stands for its ids and positions, which ``write_matrices`` writes whole."""
     rows = token_output.packed_matrices(table(spark, sf_dir, "documents"), _tokenizer())
@@ -55,6 +71,8 @@ QUERIES = {
         op1_minhash_dedup,
         op2_quality_classifier,
         op3_bestfit_packing,
+        op5_token_counts,
+        op6_decontamination,
         op8_token_output,
         op9_embedding_dedup,
     )
