@@ -11,6 +11,7 @@ from clearwell.llm import (
     bestfit_packing,
     decontamination,
     embedding_dedup,
+    html_extraction,
     minhash_dedup,
     quality_model,
     token_counts,
@@ -46,6 +47,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest of each sequence stands for its ids and positions, which ``write_matrices`` writes whole."""
     rows = token_output.packed_matrices(table(spark, sf_dir, "documents"), _tokenizer())
@@ -73,6 +78,7 @@ QUERIES = {
         op3_bestfit_packing,
         op5_token_counts,
         op6_decontamination,
+        op7_html_extraction,
         op8_token_output,
         op9_embedding_dedup,
     )
