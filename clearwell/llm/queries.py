@@ -12,6 +12,7 @@ from clearwell.llm import (
     decontamination,
     embedding_dedup,
     html_extraction,
+    line_dedup,
     minhash_dedup,
     quality_model,
     token_counts,
@@ -62,6 +63,10 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def _on_executors(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -81,6 +86,7 @@ QUERIES = {
         op7_html_extraction,
         op8_token_output,
         op9_embedding_dedup,
+        op10_line_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
