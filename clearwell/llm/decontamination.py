@@ -22,9 +22,11 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -245,6 +247,28 @@ def _found(index):
     return run
 
 
+def _without(index):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = index.value
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            keep = [not shared.matches(word_hashes(item_words(text))) for text in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _indexes(benchmark: DataFrame, near: Nearness) -> Iterator[Broadcast]:
+    """The benchmark in parts of bounded size."""
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    characters = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(1, -(-characters // (4 * PART_WORDS)))
+    for part in range(parts):
+        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index.of([tuple(r) for r in rows], near))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, near: Nearness = Nearness()) -> DataFrame:
     """``doc_id, item_id, first_word, end_word, edits``: one row for each item found in a row of ``docs``.
 
@@ -253,15 +277,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, near: Nearness = Nearnes
     one id are searched apart and give a row each.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-words // (4 * PART_WORDS)))
-    found = None
-    for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        index = docs.sparkSession.sparkContext.broadcast(Index.of([tuple(r) for r in rows], near))
-        schema = "doc_id long, item_id long, first_word long, end_word long, edits long"
-        matches = docs.mapInArrow(_found(index), schema)
-        found = matches if found is None else found.union(matches)
-    return found
+    schema = "doc_id long, item_id long, first_word long, end_word long, edits long"
+    found = [docs.mapInArrow(_found(index), schema) for index in _indexes(benchmark, near)]
+    return reduce(DataFrame.union, found)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, near: Nearness = Nearness()) -> DataFrame:
+    """Rows of ``docs(text, ...)`` that hold no item, with all of their columns; no shuffle."""
+    for index in _indexes(benchmark, near):
+        docs = docs.mapInArrow(_without(index), docs.schema)
+    return docs

@@ -228,3 +228,18 @@ def quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     return found.select(
         "doc_id", held_out().alias("held_out"), "score", F.expr("cast(score >= 0.5 AS int)").alias("predicted")
     )
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that score at least ``least``; all of their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_accepted(shared, docs.columns.index("text"), least), docs.schema)
+
+
+def _accepted(model, position: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [score(text, model.value) >= least for text in batch.column(position).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run

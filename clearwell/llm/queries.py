@@ -29,7 +29,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def _tokenizer(name: str = "word_bpe_49k.json") -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """A public vocabulary file; the packing contract names this one."""
     import public_tokenizers
 
@@ -37,11 +37,11 @@ def _tokenizer(name: str = "word_bpe_49k.json") -> str:
 
 
 def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bestfit_packing.packed(table(spark, sf_dir, "documents"), _tokenizer())
+    return bestfit_packing.packed(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.corpus_counts(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return token_counts.corpus_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digest of each sequence stands for its ids and positions, which ``write_matrices`` writes whole."""
-    rows = token_output.packed_matrices(table(spark, sf_dir, "documents"), _tokenizer())
+    rows = token_output.packed_matrices(table(spark, sf_dir, "documents"), tokenizer_file())
     digests = [F.crc32(c).alias(f"{c}_crc32") for c in ("ids", "positions")]
     return rows.select("sequence_id", "n_tokens", "doc_ids", "pieces", "cumulative_lengths", *digests)
 
