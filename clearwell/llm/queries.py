@@ -15,6 +15,7 @@ from clearwell.llm import (
     line_dedup,
     minhash_dedup,
     quality_model,
+    substring_dedup,
     token_counts,
     token_output,
 )
@@ -40,6 +41,10 @@ def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_packing.packed(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.corpus_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -81,6 +86,7 @@ QUERIES = {
         op1_minhash_dedup,
         op2_quality_classifier,
         op3_bestfit_packing,
+        op4_suffix_dedup,
         op5_token_counts,
         op6_decontamination,
         op7_html_extraction,
