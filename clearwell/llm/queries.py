@@ -15,6 +15,7 @@ from clearwell.llm import (
     line_dedup,
     minhash_dedup,
     quality_model,
+    sql,
     substring_dedup,
     token_counts,
     token_output,
@@ -69,7 +70,10 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    """The numbers of the lines that go, as text; ``without_repeated_lines`` gives the texts."""
+    lines = line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    numbers = F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed")
+    return lines.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), numbers)
 
 
 def _on_executors(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -95,4 +99,9 @@ QUERIES = {
         op10_line_dedup,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op1_minhash_dedup": sql.MINHASH,
+    "op4_suffix_dedup": sql.SUBSTRINGS,
+    "op9_embedding_dedup": sql.EMBEDDINGS,
+    "op10_line_dedup": sql.LINES,
+}
