@@ -41,6 +41,11 @@ _UNWANTED = frozenset(
     "reply respond rss search share sharing shoutbox sidebar signup skip skyscraper social sponsor sponsored "
     "sponsors subscribe subscription supplemental tags toolbar topbar widget".split()
 )
+# An article is left out for these only; a name with one of the second says what a part lacks or has beside it.
+_UNWANTED_ARTICLE = frozenset(
+    "ad ads advert advertisement comment comments promo promoted recommended related replies reply sponsored".split()
+)
+_BESIDE = frozenset("free has is no non not with without".split())
 _HEADERS = frozenset(["header", "head", "heading", "banner", "masthead", "topbar"])
 _WANTED = frozenset("article body content entry main post story text".split())
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -153,7 +158,10 @@ class _Tree:
         names: set[str] = set()
         if attributes:
             for match in _ATTRIBUTE.finditer(attributes):
-                names.update(_WORDS.findall((match[2] or match[3] or match[4] or "").lower()))
+                for name in (match[2] or match[3] or match[4] or "").lower().split():
+                    words = _WORDS.findall(name)
+                    if not _BESIDE.intersection(words):
+                        names.update(words)
         inside = any(node.tag in ("article", "main") for node in self.stack)
         dropped = (
             parent.dropped
@@ -162,9 +170,8 @@ class _Tree:
             or bool(attributes and _HIDDEN.search(attributes))
         )
         if not dropped and names and tag not in ("html", "body", "main"):
-            unwanted = names & _UNWANTED
-            unwanted |= names & _HEADERS if not inside else set()
-            dropped = bool(unwanted - (_HEADERS if inside else set()))
+            unwanted = _UNWANTED_ARTICLE if tag == "article" else _UNWANTED - _HEADERS if inside else _UNWANTED | _HEADERS
+            dropped = bool(names & unwanted)
         node = _Node(tag, parent, dropped, tag in ("article", "main") or bool(names & _WANTED))
         node.begin = len(self.paragraphs)
         self.nodes.append(node)

@@ -145,7 +145,7 @@ def fitted(at: list, values: list, structure: np.ndarray, labels: np.ndarray, se
     weights, factors = np.zeros(size, np.float32), rng.normal(0, 0.05, (size, settings.rank)).astype(np.float32)
     model = Model(0.0, weights, factors, mean, spread)
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         factors[:] = 0
         return Model(20.0 * (2 * share - 1), weights, factors, mean, spread)
     scaled = _scaled(structure, model)

@@ -108,7 +108,7 @@ def surroundings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for begin in range(0, max(1, len(data) - LENGTH + 1), _SEGMENT):
         # Windows of the segment; a little more of the text around gives every anchor its seed.
         low, high = begin, min(begin + _SEGMENT, len(data) - LENGTH + 1)
-        own = np.flatnonzero((at > low - 1) & (at < high + WINDOWS))
+        own = np.flatnonzero((at >= low) & (at < high + WINDOWS - 1))
         if not len(own):
             continue
         hashes, least = seeds_of(data[low : high + LENGTH - 1])
