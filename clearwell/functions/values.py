@@ -1,4 +1,4 @@
-"""ANSI-safe casts, date parts and exact money sums."""
+"""ANSI-safe casts, date parts and exact sums."""
 
 from __future__ import annotations
 
@@ -16,8 +16,6 @@ _INTEGERS = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 DATE_CANDIDATES = ("created_at", "timestamp", "event_time", "date", "updated_at")
 DATE_PARTS = ("year", "month", "day")
 
-# Decimal places money is added up with.
-MONEY_DIGITS = 4
 _LOW_BITS = 20
 
 
@@ -49,18 +47,25 @@ def date_parts(moment: Column) -> list[Column]:
     ]
 
 
-def exact_sum(amount: Column, digits: int | None = MONEY_DIGITS) -> Column:
-    """Sum of doubles to ``digits`` decimal places, the same for any order of the rows.
+def exact_sum(amount: Column, digits: int | None = None) -> Column:
+    """Sum of doubles as they come or, with ``digits``, exact to so many decimal places.
 
-    Amounts become whole units, whose low bits and remaining bits are added up
-    apart: two sums of plain integers, several times faster than a decimal sum,
-    with room for trillions of rows. What does not fit fails the job.
-    ``digits=None`` adds up the doubles as they come.
+    An exact sum is the same for any order of the rows. Amounts become whole units,
+    whose low bits and remaining bits are added up apart: two sums of plain integers,
+    several times faster than a decimal sum, with room for trillions of rows. Amounts
+    that are too large for whole units, and those that are not finite, are added up as
+    doubles beside them. The result is a double, NULL without amounts.
     """
+    value = amount.cast("double")
     if digits is None:
-        return F.sum(amount.cast("double"))
-    units = F.rint(amount.cast("double") * float(10**digits)).cast("bigint")
+        return F.sum(value)
+    scale = float(10**digits)
+    # NaN is above every number.
+    fits = F.abs(value) < 2.0**62 / scale
+    units = F.rint(F.when(fits, value) * scale).cast("bigint")
     high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast("decimal(20,0)")
     whole = high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
-    return whole * F.lit(Decimal(1).scaleb(-digits))
+    exact = (whole * F.lit(Decimal(1).scaleb(-digits))).cast("double")
+    others = F.sum(F.when(~fits, value))
+    return F.coalesce(exact + others, exact, others)

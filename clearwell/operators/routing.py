@@ -25,19 +25,28 @@ NOTIFICATION = (
 )
 
 TRIGGERED, SKIPPED = "triggered", "skipped"
+MALFORMED = "malformed_notification"
 
 
 def read_notifications(messages: DataFrame, body: str = "value") -> DataFrame:
     """One row per uploaded file of a table of JSON notifications.
 
-    A message without records gives no row; a record without a size has size 0.
+    A message with an empty list of records gives no row; a record without a size has
+    size 0. A message that does not parse, a null one, and a record without a key
+    give one row, with the message as ``malformed`` and nothing else.
     """
-    records = F.from_json(F.col(body), NOTIFICATION)["Records"]
-    files = messages.select(F.explode(records).alias("r"))
+    parsed = messages.select(F.col(body).alias("message"), F.from_json(F.col(body), NOTIFICATION).alias("n"))
+    # A document that is no object, or whose records are no list, parses to nothing.
+    sound = F.col("n.Records").isNotNull() | F.coalesce(F.get_json_object("message", "$").startswith("{"), F.lit(False))
+    sound &= F.col("n.Records").isNotNull() | F.get_json_object("message", "$.Records").isNull()
+    entries = F.when(sound, F.coalesce("n.Records", F.array())).otherwise(F.array(F.lit(None)))
+    files = parsed.select("message", F.explode(entries).alias("r"))
+    key = F.col("r.s3.object.key")
     return files.select(
         F.col("r.s3.bucket.name").alias("bucket"),
-        F.col("r.s3.object.key").alias("encoded_key"),
+        key.alias("encoded_key"),
         F.coalesce(F.col("r.s3.object.size"), F.lit(0)).cast("bigint").alias("size"),
+        F.when(key.isNull(), F.coalesce("message", F.lit(""))).alias("malformed"),
     )
 
 
@@ -55,8 +64,8 @@ def under_prefix(uploads: DataFrame, prefix: str = "uploads/") -> DataFrame:
 def route(uploads: DataFrame, ingest_ts: datetime | None = None, batch_id: str | None = None) -> DataFrame:
     """A verdict for every file, skipped ones with the reason.
 
-    ``uploads`` has ``original_key`` and ``size``. The extension is judged before
-    the size. The place in the raw zone, the format, the reader and the batch are
+    ``uploads`` has ``original_key`` and ``size``; an upload without a key comes from a
+    malformed notification. The extension is judged before the size. The place in the raw zone, the format, the reader and the batch are
     set on accepted files only. Files of one day that share a name share their
     place in the raw zone; ``raw_key_collisions`` lists those.
     """
@@ -70,7 +79,8 @@ def route(uploads: DataFrame, ingest_ts: datetime | None = None, batch_id: str |
         {
             "format": format_of(F.col("_inner")),
             "reader": reader_of(F.col("_inner")),
-            "reason": F.when(~F.col("_outer").isin(*SUPPORTED_EXTENSIONS), "unsupported_extension")
+            "reason": F.when(key.isNull(), MALFORMED)
+            .when(~F.col("_outer").isin(*SUPPORTED_EXTENSIONS), "unsupported_extension")
             .when(F.col("size") == 0, "empty_file")
             .when(format_of(F.col("_inner")) == UNKNOWN, "unknown_format"),
         }

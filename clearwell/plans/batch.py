@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -35,8 +36,17 @@ from clearwell.operators.shape import (
 )
 from clearwell.session import folder_bytes, pin, widened_shuffles
 from clearwell.sinks.catalog import register_table
-from clearwell.sinks.writers import BATCH, batch_path, write_batch, write_clean, write_quarantine
-from clearwell.sources.readers import read_partitioned, read_source
+from clearwell.sinks.writers import (
+    BATCH,
+    SOURCE_MARK,
+    batch_path,
+    drop_stale,
+    in_batch,
+    write_batch,
+    write_clean,
+    write_quarantine,
+)
+from clearwell.sources.readers import CORRUPT, read_partitioned, read_source
 
 _BLANK_ROW = "_blank_row"
 _MARKS = f"`{COPIES}` bigint, `{CAST_FAILURES}` int, `{REASON}` string"
@@ -67,7 +77,8 @@ def mark_batch(
     is filtered out here: good rows are in zone ``clean``, rows that break a rule
     in ``quarantine`` with the reason, the all-null row in ``blank``, each with the
     number of raw rows it stands for. With a ``_source_file`` column only copies
-    within one file are duplicates.
+    within one file are duplicates. A row with a ``_corrupt_record`` did not parse: it
+    is in quarantine for that, with its text.
     """
     counted = count_copies(normalize_names(df))
     data = [name for name in counted.columns if name not in (COPIES, SOURCE_FILE)]
@@ -76,6 +87,8 @@ def mark_batch(
     dated = add_date_partitions(typed, contract.date_column, run_ts)
     blank = F.col(_BLANK_ROW)
     reason = F.when(~blank, failure_reason(dated.columns, contract.not_null, contract.positive))
+    if CORRUPT in data:
+        reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt_record").otherwise(reason)
     ruled = dated.withColumn(REASON, reason)
     zone = F.when(blank, BLANK).when(F.col(REASON).isNull(), CLEAN).otherwise(QUARANTINE)
     technical = (COPIES, CAST_FAILURES, _BLANK_ROW, REASON, *DATE_PARTS)
@@ -120,9 +133,10 @@ def run_batch(
 
 
 def quality_runs(spark: SparkSession, lake: str) -> DataFrame:
-    """One row per table and batch."""
+    """One row per table, batch and source; ``source`` is NULL for a batch without named sources."""
     schema = ", ".join(f"`{name}` {kind}" for name, kind in RUN_COLUMNS.items())
-    return read_partitioned(spark, table_path(lake, QUALITY_RUNS), schema, ("table", BATCH))
+    runs = read_partitioned(spark, table_path(lake, QUALITY_RUNS), schema, ("table", BATCH))
+    return runs.withColumn("source", F.get(F.split(BATCH, SOURCE_MARK), F.lit(1)))
 
 
 def contract_ddl(contract: Contract, extras: str = "") -> str:
@@ -163,13 +177,23 @@ def publish_batch(
     For readers that expect ``year=/month=/day=`` at the top of the clean folder and
     ``source=`` at the top of the quarantine folder. The batch on disk is the common
     input of both writes, so the duplicates are not removed twice. Publishing a
-    batch again replaces its folders.
+    batch again replaces its folders: those that it has no rows for any more go away.
     """
-    in_batch = F.col(BATCH) == batch_id
-    good = clean_rows(spark, lake, contract, extras).filter(in_batch)
-    bad = quarantine_rows(spark, lake, contract, extras).filter(in_batch)
+    good = clean_rows(spark, lake, contract, extras).filter(in_batch(batch_id))
+    bad = quarantine_rows(spark, lake, contract, extras).filter(in_batch(batch_id))
     write_clean(good, data_path, "overwrite", batch_id)
     write_quarantine(bad, quarantine_path, source, "overwrite", batch_id)
+    own = F.lit(batch_id).alias(BATCH)
+    drop_stale(spark, data_path, (*DATE_PARTS, BATCH), _or_batch(good.select(*DATE_PARTS, own), batch_id))
+    folders = ("source", *DATE_PARTS, BATCH)
+    tagged = bad.select(F.lit(source).alias("source"), *DATE_PARTS, own)
+    drop_stale(spark, quarantine_path, folders, _or_batch(tagged, batch_id))
+
+
+def _or_batch(kept: DataFrame, batch_id: str) -> DataFrame:
+    """The folders that stay and one that never is, so that a batch without rows is known too."""
+    nothing = [F.lit(batch_id if name == BATCH else "").alias(name) for name in kept.columns]
+    return kept.distinct().union(kept.sparkSession.range(1).select(*nothing))
 
 
 def register_lake_table(spark: SparkSession, lake: str, contract: Contract, database: str, extras: str = "") -> None:
@@ -198,7 +222,8 @@ class Source:
     """Landed files of one table.
 
     ``more`` is stacked under them by tidied column name; ``options`` go to the
-    reader.
+    reader. ``name`` tells the sources of a batch apart; by default it follows
+    from the path and the format.
     """
 
     path: str
@@ -206,6 +231,11 @@ class Source:
     table: str
     more: DataFrame | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    name: str | None = None
+
+    @property
+    def key(self) -> str:
+        return self.name or f"{self.fmt}-{zlib.crc32(self.path.encode()):08x}"
 
 
 def run_sources(
@@ -217,7 +247,14 @@ def run_sources(
     per_file: bool = False,
     run_ts: datetime | None = None,
 ) -> DataFrame:
-    """Run a batch for each source; the summary has one row per source."""
+    """Run a batch for each source; the summary has one row per source.
+
+    Each source has a folder of its own in the batch, so several may fill one table and
+    running one of them again replaces its rows only.
+    """
+    keys = [(source.table, source.key) for source in sources]
+    if len(set(keys)) < len(keys):
+        raise ValueError("sources of one table need different names")
     for source in sources:
         df = read_source(spark, source.path, source.fmt, mode=mode, **source.options)
         if per_file:
@@ -228,8 +265,8 @@ def run_sources(
             df,
             contract_for(source.table),
             lake,
-            batch_id,
+            f"{batch_id}{SOURCE_MARK}{source.key}",
             run_ts=run_ts,
             input_bytes=folder_bytes(spark, source.path),
         )
-    return quality_runs(spark, lake).filter(F.col(BATCH) == batch_id)
+    return quality_runs(spark, lake).filter(in_batch(batch_id))

@@ -1,9 +1,9 @@
 """Reports over clean orders and events.
 
 Each takes contract-shaped rows and returns a lazy DataFrame. Values that mean
-"cancelled", "completed" or "viewed" are parameters. Sums of money are exact to
-``digits`` decimal places, so a report does not change with the order rows arrive
-in.
+"cancelled", "completed" or "viewed" are parameters. Sums of money are plain
+sums; with ``digits`` they are exact to so many decimal places and do not change with
+the order rows arrive in.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearwell.functions.values import DATE_PARTS, MONEY_DIGITS, exact_sum
+from clearwell.functions.values import DATE_PARTS, exact_sum
 
 
 def _rows() -> Column:
@@ -23,7 +23,7 @@ def not_cancelled(orders: DataFrame, cancelled: str = "cancelled") -> DataFrame:
     return orders.filter(F.col("status") != cancelled)
 
 
-def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", digits: int | None = MONEY_DIGITS) -> DataFrame:
+def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", digits: int | None = None) -> DataFrame:
     """Orders, revenue, average value and customers per day."""
     amount = F.col("total_amount")
     totals = (
@@ -31,7 +31,7 @@ def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", digits: int |
         .groupBy(*DATE_PARTS)
         .agg(
             _rows().alias("total_orders"),
-            exact_sum(amount, digits).cast("double").alias("daily_revenue"),
+            exact_sum(amount, digits).alias("daily_revenue"),
             F.count(amount).alias("amounts"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
@@ -45,13 +45,13 @@ def daily_revenue(orders: DataFrame, cancelled: str = "cancelled", digits: int |
     ).orderBy(*DATE_PARTS)
 
 
-def revenue_by_day(orders: DataFrame, cancelled: str = "cancelled", digits: int | None = MONEY_DIGITS) -> DataFrame:
+def revenue_by_day(orders: DataFrame, cancelled: str = "cancelled", digits: int | None = None) -> DataFrame:
     """Revenue per day."""
-    revenue = exact_sum(F.col("total_amount"), digits).cast("double").alias("revenue")
+    revenue = exact_sum(F.col("total_amount"), digits).alias("revenue")
     return not_cancelled(orders, cancelled).groupBy(*DATE_PARTS).agg(revenue).orderBy(*DATE_PARTS)
 
 
-def product_totals(orders: DataFrame, key: str, completed: str = "completed", digits: int | None = MONEY_DIGITS) -> DataFrame:
+def product_totals(orders: DataFrame, key: str, completed: str = "completed", digits: int | None = None) -> DataFrame:
     """Order count, units and revenue of completed orders per value of ``key``."""
     return (
         orders.filter(F.col("status") == completed)
@@ -82,17 +82,16 @@ def top_of_totals(totals: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def top_products(orders: DataFrame, completed: str = "completed", k: int = 10, digits: int | None = MONEY_DIGITS) -> DataFrame:
+def top_products(orders: DataFrame, completed: str = "completed", k: int = 10, digits: int | None = None) -> DataFrame:
     """The ``k`` products with the highest revenue."""
     return (
         product_totals(orders, "product_name", completed, digits)
-        .withColumn("total_revenue", F.col("total_revenue").cast("double"))
         .orderBy(F.desc("total_revenue"), "product_name")
         .limit(k)
     )
 
 
-def customer_history(orders: DataFrame, digits: int | None = MONEY_DIGITS) -> DataFrame:
+def customer_history(orders: DataFrame, digits: int | None = None) -> DataFrame:
     """Orders, value, first and last order of each customer, best first.
 
     The customer id breaks ties; it also lets the sort split equal values.
@@ -101,7 +100,7 @@ def customer_history(orders: DataFrame, digits: int | None = MONEY_DIGITS) -> Da
         orders.groupBy("customer_id")
         .agg(
             _rows().alias("total_orders"),
-            exact_sum(F.col("total_amount"), digits).cast("double").alias("lifetime_value"),
+            exact_sum(F.col("total_amount"), digits).alias("lifetime_value"),
             F.min("created_at").alias("first_order"),
             F.max("created_at").alias("last_order"),
         )

@@ -16,10 +16,6 @@ MB = 1024 * 1024
 TARGET_PARTITION_BYTES = 128 * MB
 # Compressed columnar files grow when their rows are shuffled.
 SHUFFLE_INFLATION = 3
-# Beyond this, partitions grow instead: every map task writes a block for each.
-MAX_INITIAL_PARTITIONS = 100_000
-# With fewer and larger scan tasks a big shuffle has fewer and larger blocks.
-BIG_INPUT_BYTES, BIG_SCAN_SPLIT = 10 * 1024 * 1024 * MB, 256 * MB
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _SCAN_SPLIT = "spark.sql.files.maxPartitionBytes"
@@ -68,24 +64,28 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def initial_partitions(input_bytes: int) -> int:
-    wanted = math.ceil(input_bytes * SHUFFLE_INFLATION / TARGET_PARTITION_BYTES)
-    return max(1, min(wanted, MAX_INITIAL_PARTITIONS))
+def initial_partitions(input_bytes: int, most: int | None = None) -> int:
+    """Shuffle partitions an input needs; ``most`` bounds them, and partitions grow instead."""
+    wanted = max(1, math.ceil(input_bytes * SHUFFLE_INFLATION / TARGET_PARTITION_BYTES))
+    return min(wanted, most) if most else wanted
 
 
-def widen_shuffles(spark: SparkSession, input_bytes: int) -> int:
+def widen_shuffles(
+    spark: SparkSession, input_bytes: int, most: int | None = None, scan_split_bytes: int | None = None
+) -> int:
     """Raise the first number of shuffle partitions to what the input needs.
 
     AQE merges partitions but cannot split those of an aggregation, so the
-    starting number has to grow with the data. It is never lowered. Very large
-    inputs are also scanned in larger pieces.
+    starting number has to grow with the data. It is never lowered. Every map task
+    writes a block for each partition: where that is too many, ``most`` bounds the
+    partitions, or ``scan_split_bytes`` makes fewer and larger map tasks.
     """
     floor = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = initial_partitions(input_bytes)
+    wanted = initial_partitions(input_bytes, most)
     if wanted > floor:
         spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
-    if input_bytes >= BIG_INPUT_BYTES:
-        spark.conf.set(_SCAN_SPLIT, str(BIG_SCAN_SPLIT))
+    if scan_split_bytes:
+        spark.conf.set(_SCAN_SPLIT, str(scan_split_bytes))
     return max(wanted, floor)
 
 
@@ -133,9 +133,10 @@ def write_sizes(spark: SparkSession, input_bytes: int | None = None) -> Iterator
         yield
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Total length of the files under ``path``; their content is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+def folder_bytes(spark: SparkSession, path: str, pattern: str | None = None) -> int:
+    """Total length of the files under ``path``, or those of one name pattern; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = (files.option("pathGlobFilter", pattern) if pattern else files).load(path)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearwell.functions.values import DATE_PARTS
@@ -12,6 +13,22 @@ from clearwell.operators.quality import ZONE
 from clearwell.session import write_sizes
 
 BATCH = "_batch"
+# A batch of several sources has a folder for each: the id, this sign and the name of the source.
+SOURCE_MARK = "@"
+_ID = re.compile(r"[\w.+-]+(@[\w.+-]+)?")
+
+
+def checked_id(batch_id: str) -> str:
+    """A batch id that is the same as a folder name, in a path and in a pattern; others are refused."""
+    if not _ID.fullmatch(batch_id):
+        raise ValueError(f"a batch id has letters, digits and . _ + - only, not {batch_id!r}")
+    return batch_id
+
+
+def in_batch(batch_id: str) -> Column:
+    """Rows of a batch, of all of its sources."""
+    checked_id(batch_id)
+    return (F.col(BATCH) == batch_id) | F.col(BATCH).startswith(batch_id + SOURCE_MARK)
 
 
 def clustered(df: DataFrame, *keys: str) -> DataFrame:
@@ -46,7 +63,7 @@ def write_partitioned(
 def _of_batch(df: DataFrame, batch_id: str | None, partitions: Sequence[str]) -> tuple[DataFrame, Sequence[str]]:
     if batch_id is None:
         return df, partitions
-    return df.withColumn(BATCH, F.lit(batch_id)), (*partitions, BATCH)
+    return df.withColumn(BATCH, F.lit(checked_id(batch_id))), (*partitions, BATCH)
 
 
 def write_clean(
@@ -85,7 +102,30 @@ def write_quarantine(
 
 
 def batch_path(path: str, batch_id: str) -> str:
-    return f"{path.rstrip('/')}/{BATCH}={batch_id}"
+    return f"{path.rstrip('/')}/{BATCH}={checked_id(batch_id)}"
+
+
+def drop_stale(spark: SparkSession, path: str, partitions: Sequence[str], kept: DataFrame) -> int:
+    """Delete the folders of the batches in ``kept`` that ``kept`` does not name; how many there were.
+
+    ``kept`` has a row for each folder that stays, the batch last: at most a batch's dates, which is
+    what the driver lists and compares. The number of all folders does not matter.
+    """
+    rows = [tuple(row) for row in kept.select(*partitions).distinct().collect()]
+    batches = {row[-1] for row in rows}
+    wanted = {tuple("__HIVE_DEFAULT_PARTITION__" if value is None else value for value in row) for row in rows}
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    stale = 0
+    for batch_id in sorted(batches):
+        pattern = "/".join([*(f"{name}=*" for name in partitions[:-1]), f"{partitions[-1]}={batch_id}"])
+        for found in files.globStatus(hadoop.Path(root, pattern)) or []:
+            names = found.getPath().toString().split("/")[-len(partitions) :]
+            if tuple(name.split("=", 1)[1] for name in names) not in wanted:
+                files.delete(found.getPath(), True)
+                stale += 1
+    return stale
 
 
 def write_batch(

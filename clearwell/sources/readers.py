@@ -98,8 +98,14 @@ def stream_source(
     max_bytes: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """The same files as an unbounded table; one of the limits sizes a batch."""
+    """The same files as an unbounded table; one of the limits sizes a batch.
+
+    JSON text that does not parse is kept as ``_corrupt_record``.
+    """
+    if fmt in ("json", "jsonl") and isinstance(schema, str) and CORRUPT not in schema:
+        schema = f"{schema}, `{CORRUPT}` string"
     reader: DataStreamReader = _options(spark.readStream, _known(fmt)).options(**options).schema(schema)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from clearwell.contracts import Contract
 from clearwell.operators.shape import with_source_file
@@ -19,17 +22,26 @@ from clearwell.sources.readers import name_glob, stream_source
 
 log = logging.getLogger(__name__)
 
+# Rows of one file in the raw zone: a huge gzipped upload becomes several files.
+LANDED_RECORDS = 5_000_000
 
-def for_each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
+
+def for_each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, str], None]) -> StreamingQuery:
     """Hand every micro-batch of what is available now to ``write``, then stop.
 
-    ``write`` runs batch jobs in the stream's own session, where adaptive execution
-    may be off; ``pin`` switches it on for them.
+    ``write`` also gets a name for the micro-batch: the id that the checkpoint has for
+    good, and its number. Another checkpoint, also a new one in the same place, has
+    another id, so no stream replaces what another one wrote. ``write`` runs batch jobs
+    in the stream's own session, where adaptive execution may be off; ``pin``
+    switches it on for them.
     """
+    names: list[str] = []
 
     def handle(df: DataFrame, batch: int) -> None:
-        pin(df.sparkSession)
-        write(df, batch)
+        spark = pin(df.sparkSession)
+        if not names:
+            names.append(json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"])
+        write(df, f"{names[0]}-{batch:08d}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return writer.foreachBatch(handle).start()
@@ -57,12 +69,13 @@ def ingest_available(
     after a failure has the same files and id and replaces its own rows.
     Duplicates are removed within a file, so the result does not depend on how
     files are grouped into micro-batches; ``per_file=False`` widens that to the
-    micro-batch. ``prepare`` maps the read rows to the raw columns of the table.
+    micro-batch. JSON text that does not parse goes to quarantine as it came, in the
+    column ``_corrupt_record``. ``prepare`` maps the read rows to the raw columns of the table.
     ``max_files`` or ``max_bytes`` cuts a backlog into several micro-batches; the
     latter also bounds the shuffles, which else follow the size of the folder.
     """
     pin(spark)
-    waiting = folder_bytes(spark, path)
+    waiting = folder_bytes(spark, path, options.get("pathGlobFilter"))
     batch_bytes = min(waiting, max_bytes) if max_bytes else waiting
     stream = stream_source(spark, path, fmt, schema, max_files, max_bytes, **options)
     if per_file:
@@ -70,8 +83,8 @@ def ingest_available(
     if prepare:
         stream = prepare(stream)
 
-    def write(df: DataFrame, batch: int) -> None:
-        run_batch(df, contract, lake, f"{batch_prefix}{batch:08d}", strict=strict, input_bytes=batch_bytes)
+    def write(df: DataFrame, name: str) -> None:
+        run_batch(df, contract, lake, f"{batch_prefix}-{name}", strict=strict, input_bytes=batch_bytes)
 
     for_each_batch(stream, checkpoint, write).awaitTermination()
 
@@ -80,13 +93,20 @@ def ingest_available(
 class Feed:
     """Uploaded files of one format that belong to one table.
 
-    ``schema`` is that of the files; ``pattern`` narrows them down by file name.
+    ``schema`` is that of the files; ``pattern`` narrows them down by file name. The
+    feeds of one checkpoint folder have different names; by default the table and
+    the format make one.
     """
 
     fmt: str
     contract: Contract
     schema: str
     pattern: str | None = None
+    name: str | None = None
+
+    @property
+    def key(self) -> str:
+        return self.name or f"{self.contract.name}-{self.fmt}"
 
 
 def ingest_feeds(
@@ -99,10 +119,12 @@ def ingest_feeds(
 ) -> None:
     """Take in what is new in a folder of mixed uploads, feed by feed.
 
-    Two feeds may fill the same table from files of different formats.
+    Several feeds may fill the same table.
     """
+    names = [feed.key for feed in feeds]
+    if len(set(names)) < len(names):
+        raise ValueError("feeds of one table and format need different names")
     for feed in feeds:
-        name = f"{feed.contract.name}-{feed.fmt}"
         ingest_available(
             spark,
             path,
@@ -110,7 +132,7 @@ def ingest_feeds(
             feed.schema,
             feed.contract,
             lake,
-            f"{checkpoint.rstrip('/')}/{name}",
+            f"{checkpoint.rstrip('/')}/{feed.key}",
             batch_prefix=feed.fmt,
             pathGlobFilter=feed.pattern or name_glob(feed.fmt),
             **limits,
@@ -120,11 +142,14 @@ def ingest_feeds(
 def deduplicate_stream(stream: DataFrame, ids: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop repeated ids across files, as long as they come within ``delay``.
 
-    State is kept for that time only. Rows older than the watermark are dropped by
-    the engine and counted in the query progress (``late_rows``). The state is split into
+    State is kept for that time only. A row with a NULL id repeats nothing: it passes
+    by, for the rules to judge. Rows older than the watermark are dropped by the
+    engine and counted by ``append_available``. The state is split into
     ``spark.sql.shuffle.partitions`` parts when the checkpoint is made, for good.
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(ids))
+    unknown = reduce(or_, [F.col(name).isNull() for name in ids])
+    marked = stream.withWatermark(event_time, delay)
+    return marked.where(~unknown).dropDuplicatesWithinWatermark(list(ids)).union(marked.where(unknown))
 
 
 def append_available(
@@ -134,26 +159,55 @@ def append_available(
     partitions: Sequence[str],
     cluster: bool = True,
     batch_prefix: str = "s",
-) -> None:
-    """Write what a stream has now, one folder per micro-batch.
+    max_records_per_file: int = 0,
+) -> int:
+    """Write what a stream has now, one folder per micro-batch; how many rows were too late.
 
     A replayed micro-batch replaces its own folder. Rows a watermark shut out are
-    logged as a warning.
+    counted over all micro-batches and logged as a warning.
     """
 
-    def write(df: DataFrame, batch: int) -> None:
-        write_batch(df, path, f"{batch_prefix}{batch:08d}", partitions, cluster=cluster)
+    def write(df: DataFrame, name: str) -> None:
+        rows = {"max_records_per_file": max_records_per_file}
+        write_batch(df, path, f"{batch_prefix}-{name}", partitions, cluster=cluster, **rows)
+
+    late = LateRows()
+    stream.sparkSession.streams.addListener(late)
+    try:
+        query = for_each_batch(stream, checkpoint, write)
+        query.awaitTermination()
+        # The progress of the last micro-batch comes before the end of the query.
+        stream.sparkSession._jsparkSession.sparkContext().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        stream.sparkSession.streams.removeListener(late)
+    dropped = late.of(str(query.runId))
+    if dropped:
+        log.warning("%d rows came after the watermark and were dropped", dropped)
+    return dropped
+
 
-    query = for_each_batch(stream, checkpoint, write)
-    query.awaitTermination()
-    late = late_rows(query)
-    if late:
-        log.warning("%d rows came after the watermark and were dropped", late)
+class LateRows(StreamingQueryListener):
+    """Adds up what the state operators drop as too late, however many micro-batches there are."""
 
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = {}
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the state operators of a query dropped as too late, in its recent micro-batches."""
-    return sum(state.numRowsDroppedByWatermark for batch in query.recentProgress for state in batch.stateOperators)
+    def of(self, run: str) -> int:
+        return self._dropped.get(run, 0)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        self._dropped[str(progress.runId)] = self.of(str(progress.runId)) + dropped
 
 
 def land_raw(
@@ -184,4 +238,6 @@ def land_raw(
     )
     # All rows of a micro-batch go to one folder: nothing to bring together first.
     folders = ("format", "year", "month", "day")
-    append_available(landed, raw_path, checkpoint, folders, cluster=False, batch_prefix=fmt)
+    append_available(
+        landed, raw_path, checkpoint, folders, cluster=False, batch_prefix=fmt, max_records_per_file=LANDED_RECORDS
+    )

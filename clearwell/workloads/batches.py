@@ -134,7 +134,7 @@ def sql_report(t: Tables) -> DataFrame:
 """)
 def batch_daily_revenue(t: Tables) -> DataFrame:
     """From a careless upload to the revenue report: raw rows, batch, clean table, report."""
-    return reports.daily_revenue(batch.clean_rows(t.spark, _run(t), ORDERS, MESSY_EXTRAS), "F")
+    return reports.daily_revenue(batch.clean_rows(t.spark, _run(t), ORDERS, MESSY_EXTRAS), "F", digits=2)
 
 
 def _raw_events(t: Tables) -> DataFrame:
@@ -160,7 +160,7 @@ def run_summary(t: Tables) -> DataFrame:
         batch.Source(events, "jsonl", "events"),
     ]
     summary = batch.run_sources(t.spark, sources, lake, _BATCH_ID, mode="text")
-    return summary.withColumnRenamed("table", "table_name").drop(BATCH)
+    return summary.withColumnRenamed("table", "table_name").drop(BATCH, "source")
 
 
 _EVENT_COLUMNS = ("event_id", "user_id", "event_type", "session_id", "device", "country", "timestamp")
@@ -234,3 +234,101 @@ def land_raw(t: Tables) -> DataFrame:
     )
     landed = readers.read_partitioned(t.spark, raw, schema, (BATCH, "format", "year", "month", "day"))
     return landed.select(*upload.columns, "format")
+
+
+@query(f"""
+    WITH {_SQL_COUNTS}
+    SELECT source, raw_count, clean_count, quarantine_count FROM metrics, (VALUES ('one'), ('two')) s(source)
+    UNION ALL SELECT 'rows', count(*) * 2, 0, 0 FROM marked WHERE zone = 'clean'
+""")
+def two_sources_one_table(t: Tables) -> DataFrame:
+    """Two sources of one batch and table: the rows of both stay, each has a line in the summary."""
+    lake = t.scratch("lake")
+    sources, empty = [], shape.all_null(shapes.messy_orders(t).columns)
+    for name in ("one", "two"):
+        path = t.scratch(name)
+        raw = shapes.messy_orders(t)
+        raw.filter(~empty).write.option("header", True).csv(path)
+        sources.append(batch.Source(path, "csv", "orders", more=raw.filter(empty), name=name))
+    lines = batch.run_sources(t.spark, sources, lake, _BATCH_ID, mode="text")
+    lines = lines.select("source", "raw_count", "clean_count", "quarantine_count")
+    zero = F.lit(0).cast("bigint")
+    rows = batch.clean_rows(t.spark, lake, ORDERS).agg(F.count(F.lit(1)).alias("raw_count"))
+    rows = rows.select(F.lit("rows").alias("source"), "raw_count", zero.alias("clean_count"), zero.alias("quarantine_count"))
+    return lines.unionByName(rows)
+
+
+@query("""
+    SELECT landing, event_id FROM (VALUES ('one'), ('two')) l(landing), (SELECT CAST(event_id AS VARCHAR) AS event_id FROM events)
+""")
+def two_landing_folders(t: Tables) -> DataFrame:
+    """Two folders, each with a checkpoint of its own, fill one table."""
+    lake = t.scratch("lake")
+    events = _raw_events(t)
+    for name in ("one", "two"):
+        landing, checkpoint = t.scratch(name), t.scratch("checkpoint")
+        events.withColumn("page", F.lit(name)).write.json(landing)
+        schema = readers.text_schema((*_EVENT_COLUMNS, "page"))
+        ingest.ingest_available(t.spark, landing, "jsonl", schema, EVENTS, lake, checkpoint)
+    return batch.clean_rows(t.spark, lake, EVENTS).select(F.col("page").alias("landing"), "event_id")
+
+
+@query("""
+    SELECT CASE WHEN event_id % 10 = 0 THEN 'corrupt_record' ELSE 'clean' END AS zone, count(*) AS rows
+    FROM events GROUP BY 1
+    UNION ALL SELECT 'raw_count', count(*) FROM events
+""")
+def corrupt_records(t: Tables) -> DataFrame:
+    """Every tenth line of a JSON-Lines stream does not parse: none is lost, its text is kept."""
+    landing, lake, checkpoint = t.scratch("landing"), t.scratch("lake"), t.scratch("checkpoint")
+    key = F.col("event_id").cast("bigint")
+    line = F.when(key % 10 == 0, F.concat(F.lit("{oops "), "event_id")).otherwise(F.to_json(F.struct(*_EVENT_COLUMNS)))
+    _raw_events(t).select(line.alias("value")).write.text(landing)
+    schema = readers.text_schema(_EVENT_COLUMNS)
+    ingest.ingest_available(t.spark, landing, "jsonl", schema, EVENTS, lake, checkpoint, pathGlobFilter="*.txt")
+    clean = batch.clean_rows(t.spark, lake, EVENTS).select(F.lit("clean").alias("zone"))
+    bad = batch.quarantine_rows(t.spark, lake, EVENTS, f"`{readers.CORRUPT}` string")
+    kept = bad.where(F.col(readers.CORRUPT).startswith("{oops ")).select(F.col(quality.REASON).alias("zone"))
+    counted = clean.unionByName(kept).groupBy("zone").agg(F.count(F.lit(1)).alias("rows"))
+    raw = batch.quality_runs(t.spark, lake).agg(F.sum("raw_count").alias("rows"))
+    return counted.unionByName(raw.select(F.lit("raw_count").alias("zone"), "rows"))
+
+
+@query(f"""
+    WITH {SQL_MARKED_ORDERS}
+    SELECT CAST(NULL AS VARCHAR) AS source, {_DATA}, CAST(NULL AS VARCHAR) AS _quarantine_reason, {_DATE}
+    FROM marked WHERE zone = 'clean' AND status = 'F'
+    UNION ALL
+    SELECT 'csv', {_DATA}, reason, {_DATE} FROM marked WHERE zone = 'quarantine' AND status = 'F'
+""")
+def republish_smaller_batch(t: Tables) -> DataFrame:
+    """A batch that has fewer rows when it is published again leaves nothing of the first time."""
+    lake, data, bad = t.scratch("lake"), t.scratch("data"), t.scratch("quarantine")
+    raw = shapes.messy_orders(t)
+    for rows in (raw, raw.filter(F.col("Status") == "F")):
+        batch.run_batch(rows, ORDERS, lake, _BATCH_ID)
+        batch.publish_batch(t.spark, lake, ORDERS, _BATCH_ID, data, bad, "csv", MESSY_EXTRAS)
+    schema = batch.contract_ddl(ORDERS, MESSY_EXTRAS)
+    clean = readers.read_partitioned(t.spark, data, schema, (*DATE_PARTS, BATCH))
+    folders = ("source", *DATE_PARTS, BATCH)
+    quarantine = readers.read_partitioned(t.spark, bad, f"{schema}, `{quality.REASON}` string", folders)
+    return _comparable(shape.union_by_name(clean, quarantine))
+
+
+@query("""
+    SELECT event_type, count(DISTINCT event_id) FILTER (event_id % 8 <> 0) AS known,
+        2 * count(*) FILTER (event_id % 8 = 0) AS unknown
+    FROM events GROUP BY event_type
+""")
+def stream_dedup_nulls(t: Tables) -> DataFrame:
+    """Every event lands twice; those without an id repeat nothing and all stay."""
+    landing, out, checkpoint = t.scratch("landing"), t.scratch("events"), t.scratch("checkpoint")
+    key = F.when(F.col("event_id") % 8 != 0, F.col("event_id")).alias("event_id")
+    events = t["events"].select(key, F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    events.write.parquet(landing)
+    events.write.mode("append").parquet(landing)
+    stream = readers.stream_source(t.spark, landing, "parquet", events.schema)
+    ingest.append_available(ingest.deduplicate_stream(stream, ("event_id",), "ts", "90 days"), out, checkpoint, ("event_type",))
+    rows = readers.read_partitioned(t.spark, out, "`event_id` bigint, `ts` timestamp", (BATCH, "event_type"))
+    unknown = F.count_if(F.col("event_id").isNull()).alias("unknown")
+    return rows.groupBy("event_type").agg(F.count("event_id").alias("known"), unknown)

@@ -176,7 +176,7 @@ def quarantine_flat_sink(t: Tables) -> DataFrame:
 """)
 def stored_report(t: Tables) -> DataFrame:
     path = t.scratch("report")
-    writers.write_report(plans.customer_history(shapes.orders(t)), path=path)
+    writers.write_report(plans.customer_history(shapes.orders(t), digits=2), path=path)
     return t.spark.read.parquet(path)
 
 

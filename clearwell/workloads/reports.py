@@ -21,14 +21,14 @@ _REVENUE = "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE)"
     FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2, 3
 """)
 def daily_revenue(t: Tables) -> DataFrame:
-    return reports.daily_revenue(shapes.orders(t), CANCELLED)
+    return reports.daily_revenue(shapes.orders(t), CANCELLED, digits=2)
 
 
 @query(f"""
     SELECT {_DAY}, {_REVENUE} AS revenue FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2, 3
 """)
 def revenue_by_day(t: Tables) -> DataFrame:
-    return reports.revenue_by_day(shapes.orders(t), CANCELLED)
+    return reports.revenue_by_day(shapes.orders(t), CANCELLED, digits=2)
 
 
 @query("""
@@ -47,11 +47,56 @@ def top_products(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("total_amount"),
         F.col("l_linestatus").alias("status"),
     )
-    per_part = reports.product_totals(lines, "l_partkey", completed="F")
+    per_part = reports.product_totals(lines, "l_partkey", completed="F", digits=2)
     names = t["part"].select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name"))
     return reports.top_of_totals(per_part.join(names, "l_partkey"))
 
 
+_FINE = "CAST(o_orderkey % 1000 AS DOUBLE) / 1000000 + o_orderkey % 7"
+_FINE_SUM = f"CAST(sum(CAST({_FINE} AS DECIMAL(30, 6))) AS DOUBLE)"
+
+
+@query(f"""
+    SELECT {_DAY}, {_FINE_SUM} AS revenue FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2, 3
+""")
+def fine_revenue(t: Tables) -> DataFrame:
+    """Amounts with six decimal places lose none of them."""
+    amount = (F.col("order_id").cast("bigint") % 1000).cast("double") / 1000000 + F.col("order_id").cast("bigint") % 7
+    return reports.revenue_by_day(shapes.orders(t).withColumn("total_amount", amount), CANCELLED, digits=6)
+
+
+@query("""
+    SELECT o_orderstatus AS status, count(*) AS order_count,
+        CAST(round(sum(CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 1e15 ELSE o_totalprice END)
+            / 1e12) AS BIGINT) AS thousand_billions
+    FROM orders GROUP BY 1
+""")
+def wide_revenue(t: Tables) -> DataFrame:
+    """Very large amounts and missing ones fail no report, whatever digits are asked for."""
+    key = F.col("order_id").cast("bigint")
+    amount = F.when(key % 5 == 1, 1e15).when(key % 5 != 0, F.col("total_amount"))
+    orders = shapes.orders(t).withColumn("total_amount", amount).withColumn("quantity", F.lit(1))
+    rows = orders.withColumn("product", F.col("status")).withColumn("status", F.lit("all"))
+    totals = reports.product_totals(rows, "product", completed="all", digits=6)
+    billions = F.round(F.col("total_revenue") / 1e12).cast("bigint").alias("thousand_billions")
+    return totals.select(F.col("product").alias("status"), "order_count", billions)
+
+
+@query("""
+    SELECT o_orderpriority AS product_name, count(*) AS order_count, CAST(sum(o_orderkey % 5) AS BIGINT) AS units_sold,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue
+    FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 ORDER BY total_revenue DESC, product_name LIMIT 3
+""")
+def top_products_by_name(t: Tables) -> DataFrame:
+    rows = t["orders"].select(
+        F.col("o_orderpriority").alias("product_name"),
+        (F.col("o_orderkey") % 5).alias("quantity"),
+        F.col("o_totalprice").alias("total_amount"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return reports.top_products(rows, completed="F", k=3, digits=2)
+
+
 @query("""
     SELECT CAST(o_custkey AS VARCHAR) AS customer_id, count(*) AS total_orders,
         CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS lifetime_value,
@@ -59,7 +104,7 @@ def top_products(t: Tables) -> DataFrame:
     FROM orders GROUP BY o_custkey
 """)
 def customer_history(t: Tables) -> DataFrame:
-    return reports.customer_history(shapes.orders(t))
+    return reports.customer_history(shapes.orders(t), digits=2)
 
 
 @query("""

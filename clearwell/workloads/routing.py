@@ -83,7 +83,32 @@ _SQL_VERDICTS = f"""
 
 
 def _uploads(t: Tables) -> DataFrame:
-    return routing.decode_keys(routing.read_notifications(notifications(t)))
+    return routing.decode_keys(routing.read_notifications(notifications(t))).drop("malformed")
+
+
+_SQL_ODD = """
+    SELECT CASE page_id % 4 WHEN 0 THEN 'no JSON ' || page_id WHEN 1 THEN '[' || page_id || ']'
+        WHEN 2 THEN '{"Records": [{"s3": {"object": {"size": ' || page_id || '}}}]}' ELSE '{"page": 1}' END AS value
+    FROM pages"""
+
+
+@query(f"""
+    SELECT 'skipped' AS status, 'malformed_notification' AS reason, value AS malformed, count(*) AS files
+    FROM ({_SQL_ODD}) WHERE value <> '{{"page": 1}}' GROUP BY value
+""")
+def malformed_notifications(t: Tables) -> DataFrame:
+    """Messages that are no notifications, and records without a key, have verdicts of their own."""
+    page = F.col("page_id")
+    text = page.cast("string")
+    odd = (
+        F.when(page % 4 == 0, F.concat(F.lit("no JSON "), text))
+        .when(page % 4 == 1, F.concat(F.lit("["), text, F.lit("]")))
+        .when(page % 4 == 2, F.concat(F.lit('{"Records": [{"s3": {"object": {"size": '), text, F.lit("}}}]}")))
+        .otherwise('{"page": 1}')
+    )
+    uploads = routing.decode_keys(routing.read_notifications(t["pages"].select(odd.alias("value"))))
+    verdicts = routing.route(uploads, _DAY, _RUN)
+    return verdicts.groupBy("status", "reason", "malformed").agg(F.count(F.lit(1)).alias("files"))
 
 
 def _verdicts(t: Tables) -> DataFrame:

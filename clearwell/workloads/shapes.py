@@ -19,8 +19,8 @@ ORDER_TYPES = {
 }
 STORED_ORDERS = Contract("stored_orders", columns=ORDER_TYPES)
 
-COUNTRIES = ("US", "UK", "CA", "AU", "DE")
-DEVICES = ("desktop", "mobile", "tablet")
+COUNTRIES = ("NO", "NZ", "PT", "KE", "CL")
+DEVICES = ("tv", "watch", "kiosk")
 
 # SQL twin of the date parts of a column.
 SQL_DATE_PARTS = """
@@ -76,9 +76,7 @@ SQL_EVENTS = f"""
 def messy_orders(t: Tables) -> DataFrame:
     """Orders as a careless upload: text only, odd names, copies, gaps, bad values.
 
-    Every 9th order comes twice and every 101st row is empty. Orders are dated by
-    their month: at a few rows a day the runs would only measure the making of
-    folders.
+    Every 9th order comes twice and every 101st row is empty.
     """
     key = F.col("o_orderkey")
 
@@ -97,7 +95,7 @@ def messy_orders(t: Tables) -> DataFrame:
             F.col("o_totalprice").cast("decimal(18,2)").cast("string")
         ),
         "Status": F.col("o_orderstatus"),
-        "Created-At": F.when(~every(53), F.date_format("o_orderdate", "yyyy-MM-01 00:00:00")),
+        "Created-At": F.when(~every(53), F.date_format("o_orderdate", "yyyy-MM-dd 00:00:00")),
         "Note": F.concat(F.lit("n"), (key % 3).cast("string")),
     }
     return rows.select(*[F.when(~every(101), value).alias(name) for name, value in text.items()])
@@ -118,7 +116,7 @@ SQL_MARKED_ORDERS = f"""
                  WHEN o_orderkey IS NOT NULL THEN CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)
                  END AS total_amount,
             CASE WHEN o_orderkey IS NOT NULL THEN o_orderstatus END AS status,
-            CASE WHEN o_orderkey % 53 <> 0 THEN strftime(o_orderdate, '%Y-%m-01 00:00:00') END AS created_at,
+            CASE WHEN o_orderkey % 53 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS created_at,
             'n' || CAST(o_orderkey % 3 AS VARCHAR) AS note,
             copies
         FROM filled

@@ -13,27 +13,29 @@ def _split(spark, rows, not_null=("id",), positive=("amount",), ddl="id string,
 
 
 def test_null_id(spark):
-    clean, bad = _split(spark, [("a", 1.0), (None, 2.0)])
-    assert (clean.count(), bad.count()) == (1, 1)
-    assert bad.first()["_quarantine_reason"] == "null:id"
+    clean, bad = _split(spark, [("k", 0.5), (None, 7.25), ("m", 3.0), (None, None)])
+    assert sorted(r["id"] for r in clean.collect()) == ["k", "m"]
+    assert [r["_quarantine_reason"] for r in bad.collect()] == ["null:id"] * 2
     assert "_quarantine_reason" not in clean.columns
 
 
 def test_not_positive(spark):
-    clean, bad = _split(spark, [("a", 10.0), ("b", 0.0), ("c", -1.0)])
-    assert (clean.count(), bad.count()) == (1, 2)
-    assert {r[0] for r in bad.select("_quarantine_reason").collect()} == {"non_positive:amount"}
+    clean, bad = _split(spark, [("k", -0.0), ("m", 1e-9), ("n", -3.5), ("o", 8.0)])
+    assert sorted(r["id"] for r in clean.collect()) == ["m", "o"]
+    assert {(r["id"], r["_quarantine_reason"]) for r in bad.collect()} == {
+        ("k", "non_positive:amount"), ("n", "non_positive:amount"),
+    }
 
 
 def test_all_good_and_no_rules(spark):
-    clean, bad = _split(spark, [("a", 10.0), ("b", 5.0)])
+    clean, bad = _split(spark, [(str(n), n + 0.5) for n in range(7)])
+    assert (clean.count(), bad.count()) == (7, 0)
+    clean, bad = _split(spark, [(None, None), (None, -1.0)], (), ())
     assert (clean.count(), bad.count()) == (2, 0)
-    clean, bad = _split(spark, [(None, None)], (), ())
-    assert (clean.count(), bad.count()) == (1, 0)
 
 
 def test_null_amount_is_clean_and_not_lost(spark):
-    clean, bad = _split(spark, [("3", None)])
+    clean, bad = _split(spark, [("q", None)])
     assert (clean.count(), bad.count()) == (1, 0)
 
 
@@ -76,13 +78,13 @@ def _metrics(spark, raw, clean, bad):
 
 
 def test_metrics(spark):
-    row = _metrics(spark, 3, 2, 1)
-    assert (row["raw_count"], row["clean_count"], row["quarantine_count"]) == (3, 2, 1)
-    assert (row["pass_rate_pct"], row["below_threshold"]) == (66.67, True)
+    row = _metrics(spark, 9, 7, 2)
+    assert (row["raw_count"], row["clean_count"], row["quarantine_count"]) == (9, 7, 2)
+    assert (row["pass_rate_pct"], row["below_threshold"]) == (77.78, True)
     row = _metrics(spark, 0, 0, 0)
     assert (row["raw_count"], row["pass_rate_pct"]) == (0, 0.0)
     assert _metrics(spark, 32, 29, 3)["pass_rate_pct"] == 90.62
-    row = _metrics(spark, 2, 2, 0)
+    row = _metrics(spark, 6, 6, 0)
     assert (row["pass_rate_pct"], row["below_threshold"]) == (100.0, False)
 
 

@@ -20,21 +20,21 @@ def _route(spark, *uploads):
 @pytest.mark.parametrize(
     ("key", "fmt", "reader"),
     [
-        ("uploads/orders.csv", "csv", "csv"),
-        ("uploads/data.CSV", "csv", "csv"),
-        ("uploads/events.json", "json", "json"),
-        ("uploads/events.jsonl", "json", "jsonl"),
-        ("uploads/snapshot.parquet", "parquet", "parquet"),
+        ("uploads/harvest.csv", "csv", "csv"),
+        ("uploads/HARVEST.CSV", "csv", "csv"),
+        ("uploads/soil.json", "json", "json"),
+        ("uploads/soil.jsonl", "json", "jsonl"),
+        ("uploads/beds.parquet", "parquet", "parquet"),
         ("uploads/deep/x.csv.gz", "csv", "csv"),
         ("uploads/x.jsonl.GZ", "json", "jsonl"),
         ("uploads/a b c.CSV", "csv", "csv"),
     ],
 )
 def test_accepted(spark, key, fmt, reader):
-    (verdict,) = _route(spark, (key, 1024))
+    (verdict,) = _route(spark, (key, 77))
     assert verdict == {
         "original_key": key,
-        "size": 1024,
+        "size": 77,
         "status": "triggered",
         "reason": None,
         "format": fmt,
@@ -47,16 +47,16 @@ def test_accepted(spark, key, fmt, reader):
 @pytest.mark.parametrize(
     ("key", "size", "reason"),
     [
-        ("uploads/report.xlsx", 10, "unsupported_extension"),
-        ("uploads/report.xlsx", 0, "unsupported_extension"),
-        ("uploads/empty.csv", 0, "empty_file"),
+        ("uploads/plan.xlsx", 31, "unsupported_extension"),
+        ("uploads/plan.xlsx", 0, "unsupported_extension"),
+        ("uploads/nothing.csv", 0, "empty_file"),
         ("uploads/.csv", 5, "unsupported_extension"),
         ("up.loads/noext", 5, "unsupported_extension"),
         ("uploads/folder.csv/", 5, "unsupported_extension"),
         ("uploads/x.gz", 5, "unknown_format"),
         ("uploads/x.txt.gz", 5, "unknown_format"),
         ("uploads/x.parquet.gz", 5, "unknown_format"),
-        (None, 5, "unsupported_extension"),
+        (None, 5, "malformed_notification"),
     ],
 )
 def test_skipped(spark, key, size, reason):
@@ -75,7 +75,14 @@ def test_notifications(spark):
     assert {(r["bucket"], r["original_key"], r["size"]) for r in rows} == {
         ("b", "uploads/a b c.CSV", 7),
         ("b", "uploads/n.json", 0),
+        (None, None, 0),
     }
+    assert sorted(r["malformed"] for r in rows if r["malformed"] is not None) == ["", "not json"]
+    assert {r["reason"] for r in routing.route(df_rows(spark, rows)).collect()} == {None, "malformed_notification"}
+
+
+def df_rows(spark, rows):
+    return spark.createDataFrame([(r["original_key"], r["size"] or 1) for r in rows], "original_key string, size bigint")
 
 
 KEYS = [

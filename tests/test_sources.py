@@ -86,7 +86,7 @@ def test_shuffles_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert initial_partitions(1) == 1
     assert initial_partitions(10 * 2**30) == 240
-    assert initial_partitions(10**17) == 100_000
+    assert initial_partitions(10**17, most=100_000) == 100_000 < initial_partitions(10**17)
     before = spark.conf.get(key, None)
     with widened_shuffles(spark, 10 * 2**30):
         assert spark.conf.get(key) == "240"
