@@ -64,7 +64,7 @@ def product_totals(orders: DataFrame, key: str, completed: str = "completed", di
     )
 
 
-def top_of_totals(totals: DataFrame, k: int = 10) -> DataFrame:
+def top_of_totals(totals: DataFrame, k: int = 10, digits: int | None = None) -> DataFrame:
     """The ``k`` best-selling product names of per-product totals.
 
     Totals of products that share a name are added up. Equal revenues are ranked
@@ -75,7 +75,7 @@ def top_of_totals(totals: DataFrame, k: int = 10) -> DataFrame:
         .agg(
             F.sum("order_count").alias("order_count"),
             F.sum("units_sold").alias("units_sold"),
-            F.sum("total_revenue").cast("double").alias("total_revenue"),
+            exact_sum(F.col("total_revenue"), digits).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "product_name")
         .limit(k)

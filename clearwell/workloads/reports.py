@@ -49,7 +49,7 @@ def top_products(t: Tables) -> DataFrame:
     )
     per_part = reports.product_totals(lines, "l_partkey", completed="F", digits=2)
     names = t["part"].select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name"))
-    return reports.top_of_totals(per_part.join(names, "l_partkey"))
+    return reports.top_of_totals(per_part.join(names, "l_partkey"), digits=2)
 
 
 _FINE = "CAST(o_orderkey % 1000 AS DOUBLE) / 1000000 + o_orderkey % 7"
