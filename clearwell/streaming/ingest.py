@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from clearwell.contracts import Contract
-from clearwell.operators.shape import with_source_file
+from clearwell.operators.routing import TRIGGERED
+from clearwell.operators.shape import SOURCE_FILE, with_source_file
 from clearwell.plans.batch import run_batch
 from clearwell.session import folder_bytes, pin
-from clearwell.sinks.writers import write_batch
-from clearwell.sources.readers import name_glob, stream_source
+from clearwell.sinks.writers import SOURCE_MARK, write_batch
+from clearwell.sources.readers import name_glob, read_source, stream_source
 
 log = logging.getLogger(__name__)
 
@@ -241,3 +242,28 @@ def land_raw(
     append_available(
         landed, raw_path, checkpoint, folders, cluster=False, batch_prefix=fmt, max_records_per_file=LANDED_RECORDS
     )
+
+
+def land_accepted(spark: SparkSession, verdicts: DataFrame, raw_path: str, run_id: str, root: str = "") -> None:
+    """Copy the rows of the accepted uploads, and of no others, to their places in the raw zone.
+
+    ``verdicts`` come from ``routing.route``; ``root`` stands before their keys. The place of a file is
+    its ``organized_key`` with Parquet in it: ``format=/year=/month=/day=/file=`` below the batch of the
+    run, a source for each reader, so a repeated run replaces its own rows. Values are text as
+    they came (Parquet keeps its types) and rows say which file they are from. The list
+    of paths is what the driver holds, as for any read.
+    """
+    accepted = verdicts.filter(F.col("status") == TRIGGERED).select("original_key", "organized_key", "reader")
+    paths: dict[str, list[str]] = {}
+    for row in accepted.select("reader", "original_key").distinct().collect():
+        paths.setdefault(row["reader"], []).append(f"{root}{row['original_key']}")
+    # raw/{format}/year=…/month=…/day=…/{file}
+    parts = F.split("organized_key", "/")
+    names = {"format": 1, "year": 2, "month": 3, "day": 4, "file": 5}
+    place = [F.element_at(F.split(F.get(parts, F.lit(at)), "="), -1).alias(name) for name, at in names.items()]
+    file_name = F.element_at(F.split(F.url_decode(F.col(SOURCE_FILE)), "/"), -1)
+    for reader, files in paths.items():
+        rows = with_source_file(read_source(spark, sorted(files), reader, mode="text"))
+        places = accepted.filter(F.col("reader") == reader).select(*place).distinct()
+        landed = rows.withColumn("file", file_name).join(places, "file")
+        write_batch(landed, raw_path, f"{run_id}{SOURCE_MARK}{reader}", tuple(names), max_records_per_file=LANDED_RECORDS)

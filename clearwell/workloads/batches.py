@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.contracts import EVENTS, ORDERS, Contract
 from clearwell.functions.values import DATE_PARTS
-from clearwell.operators import quality, shape
+from clearwell.operators import quality, routing, shape
 from clearwell.plans import batch, reports
 from clearwell.sinks import catalog
 from clearwell.sinks.writers import BATCH
@@ -332,3 +333,25 @@ def stream_dedup_nulls(t: Tables) -> DataFrame:
     rows = readers.read_partitioned(t.spark, out, "`event_id` bigint, `ts` timestamp", (BATCH, "event_type"))
     unknown = F.count_if(F.col("event_id").isNull()).alias("unknown")
     return rows.groupBy("event_type").agg(F.count("event_id").alias("known"), unknown)
+
+
+@query("""
+    SELECT 'csv' AS format, '2024' AS year, '03' AS month, '05' AS day, count(*) AS rows, count(DISTINCT o_orderkey) AS keys
+    FROM orders
+    UNION ALL SELECT 'parquet', '2024', '03', '05', count(*), count(DISTINCT event_id) FROM events
+""")
+def routed_landing(t: Tables) -> DataFrame:
+    """Uploads are judged, and the rows of the accepted ones land where the verdicts say; text files do not."""
+    uploads, raw = t.scratch("uploads"), t.scratch("raw")
+    shapes.orders(t).select("order_id", "status").write.option("header", True).csv(f"{uploads}/a")
+    t["events"].select("event_id", "event_type").write.parquet(f"{uploads}/b")
+    t["orders"].select(F.col("o_orderpriority").alias("value")).write.text(f"{uploads}/c")
+    listed = readers.list_uploads(t.spark, uploads).select("original_key", "size")
+    verdicts = routing.route(listed, datetime(2024, 3, 5, tzinfo=UTC), "run-1")
+    for _ in range(2):
+        ingest.land_accepted(t.spark, verdicts, raw, "run-1")
+    schema = "`order_id` string, `event_id` bigint"
+    landed = readers.read_partitioned(t.spark, raw, schema, (BATCH, "format", "year", "month", "day", "file"))
+    key = F.coalesce("order_id", F.col("event_id").cast("string"))
+    counts = (F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"))
+    return landed.groupBy("format", "year", "month", "day").agg(*counts)
