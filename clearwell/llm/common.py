@@ -46,6 +46,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df``, written to the shared folder and read back."""
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
+    # Scratch data ends with the application.
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
