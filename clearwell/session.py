@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MB = 1024 * 1024
@@ -112,11 +112,20 @@ def widened_shuffles(spark: SparkSession, input_bytes: int | None) -> Iterator[N
 
 
 def write_piece_bytes(spark: SparkSession, input_bytes: int | None) -> int:
-    """Shuffled bytes one writing task should get: enough for a good file, yet work for all cores."""
+    """Shuffled bytes one writing task should get: enough for a good file, yet work for all cores.
+
+    A small batch into many folders costs by the file, so it too is spread over all cores.
+    """
     if not input_bytes:
         return TARGET_PARTITION_BYTES
     share = input_bytes * SHUFFLE_INFLATION // (2 * spark.sparkContext.defaultParallelism)
-    return max(32 * MB, min(share, 256 * MB))
+    return max(16 * 1024, min(share, 256 * MB))
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Size of the rows by the optimizer's estimate, from file lengths alone; None if it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 2**60 else None
 
 
 @contextmanager

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clearwell.functions.values import DATE_PARTS
 from clearwell.operators.quality import ZONE
-from clearwell.session import write_sizes
+from clearwell.session import planned_bytes, write_sizes
 
 BATCH = "_batch"
 # A batch of several sources has a folder for each: the id, this sign and the name of the source.
@@ -56,7 +56,7 @@ def write_partitioned(
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partitions)
     )
-    with write_sizes(df.sparkSession):
+    with write_sizes(df.sparkSession, planned_bytes(df)):
         writer.parquet(path)
 
 
@@ -150,7 +150,7 @@ def write_batch(
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partitions)
     )
-    with write_sizes(marked.sparkSession, input_bytes):
+    with write_sizes(marked.sparkSession, input_bytes or planned_bytes(marked)):
         writer.parquet(batch_path(path, batch_id))
 
 

@@ -100,7 +100,7 @@ def test_shuffles_grow_with_the_input(spark):
 
 def test_pieces_of_a_write(spark):
     sizes = [write_piece_bytes(spark, n) for n in (None, 1, 320 * MB, 10**14)]
-    assert sizes == [128 * MB, 32 * MB, 60 * MB, 256 * MB]
+    assert sizes == [128 * MB, 16 * 1024, 60 * MB, 256 * MB]
 
 
 def test_shared_folder_follows_the_session(spark):
