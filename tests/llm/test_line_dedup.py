@@ -57,7 +57,7 @@ def test_edge_rows(spark):
 
 
 def test_small_blocks_and_one_centre_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(L, "BLOCK_SHINGLES", 200)
+    monkeypatch.setattr(L, "BLOCK_SHINGLES", 300)
     monkeypatch.setattr(L, "CENTRES", 1)
     rows = [r for r in sample() if r[0] not in (90, 91)]
     found = L.repeated_lines(documents(spark, rows)).collect()
