@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -297,6 +298,7 @@ def _suffix_rows(buckets: int, bounds: list[int]):
 
     def run(texts: pa.Table, survivors: pa.Table) -> pa.Table:
         documents = _documents(texts)
+        squeeze = zstandard.ZstdCompressor(level=1)
         found: list[tuple] = []
         stretches: list[np.ndarray] = []
         for (id_, nth), (at,) in _by_document(survivors, {"ids": "<i8", "places": "<i8"}):
@@ -329,7 +331,7 @@ def _suffix_rows(buckets: int, bounds: list[int]):
                     "ids": _pack(ids[own]),
                     "places": _pack(places[own]),
                     "sizes": _pack(size[own].astype(np.uint8)),
-                    "bytes": data[_ranges(begin[own], begin[own] + size[own])].tobytes(),
+                    "bytes": squeeze.compress(data[_ranges(begin[own], begin[own] + size[own])].tobytes()),
                 }
             )
         return pa.Table.from_pylist(rows, _SUFFIX_SCHEMA)
@@ -364,13 +366,14 @@ def _repeat_rows(parts: int):
     """Spans of the windows that occur in an earlier document, to the groups of their documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Levels()
+        index, expand = Levels(), zstandard.ZstdDecompressor()
         for new, group in _by_bucket(batches):
             if new:
                 index = Levels()
             seed, id_ = _unpack(group.column("seeds"), "<u8"), _unpack(group.column("ids"), "<i8")
             place, size = _unpack(group.column("places"), "<i8"), _unpack(group.column("sizes"), "u1").astype(np.int64)
-            data = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8)
+            data = b"".join(map(expand.decompress, group.column("bytes").to_pylist()))
+            data = np.frombuffer(data, np.uint8)
             count = size - LENGTH + 1
             begin = np.concatenate([[0], np.cumsum(size)[:-1]])
             of = np.repeat(np.arange(len(size)), count)
