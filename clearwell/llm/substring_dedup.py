@@ -39,7 +39,7 @@ LENGTH, SEED = 50, 16
 WINDOWS = LENGTH - SEED + 1  # seeds in a window, and windows around a seed
 BATCHES = 8
 # Bytes of text for each bucket and for each group of documents.
-BUCKET_BYTES, GROUP_BYTES = 16_000_000, 8_000_000
+BUCKET_BYTES, GROUP_BYTES = 10_000_000, 8_000_000
 # A longer document is hashed in segments of this size.
 _SEGMENT = 4_000_000
 _U = np.uint64
