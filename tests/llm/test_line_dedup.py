@@ -78,6 +78,42 @@ def test_texts_lose_these_lines_and_nothing_else(spark):
     assert {r.doc_id: r.text for r in left.collect() if r.doc_id is not None} == want
 
 
+def test_every_character_of_a_long_word_counts(spark):
+    start, tail = "これは長い文の始まりでどれも同じです", "".join(chr(0x4E00 + k) for k in range(60))
+    fields = "\t".join(f"field{k}" for k in range(40))
+    long = "".join(chr(97 + k * k % 23 + k % 3) for k in range(200)) + "".join(map(str, range(900)))
+    rows = [
+        (1, "https://www.example.org/a/1"),
+        (2, "https://www.example.org/b/other"),
+        (3, start + tail[:30]),
+        (4, start + tail[30:]),
+        (5, "a common first field\twith one value of it"),
+        (6, "a common first field\tand quite another"),
+        (7, "id-0000000000001\tred\tsmall\tround"),
+        (8, "id-0000000000001\tblue\tlarge\tsquare"),
+        (9, long),  # Near copies: the beginning differs.
+        (10, "x" + long),
+        (11, "y" + long + " z"),
+        (12, fields),
+        (13, "F1\t" + fields),
+        (14, "\U0001f600" * 17 + tail),
+        (15, "!" + "\U0001f600" * 17 + tail),
+    ]
+    found = L.repeated_lines(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in found if r.removed) == [10, 11, 13, 15]
+
+
+def test_pieces_have_all_shingles(spark):
+    words = ["".join(chr(97 + k * 7 % 26) + str(k) for k in range(400))[:n] for n in (17, 64, 65, 79, 80, 81, 128, 143, 144, 999)]
+    words = spark.createDataFrame([(w,) for w in words], "word string")
+    pieces = words.selectExpr("word", f"explode({L._pieces('word')}) AS piece")
+    found = pieces.selectExpr("word", f"explode(transform({L._starts('piece')}, i -> substring(piece, i, 16))) AS s")
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.word, []).append(r.s)
+    assert got and all(sorted(s) == sorted(w[k : k + 16] for k in range(len(w) - 15)) for w, s in got.items())
+
+
 def test_empty_table(spark):
     assert L.repeated_lines(documents(spark, [])).collect() == []
     assert L.without_repeated_lines(documents(spark, [])).collect() == []
