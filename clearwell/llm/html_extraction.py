@@ -36,7 +36,7 @@ _RAW = "script|style|noscript|template|textarea|svg|iframe|title|select|noframes
 _UNWANTED = frozenset(
     "ad ads adv advert advertisement adverts advertising adsense banner breadcrumb breadcrumbs combx comment comments "
     "commentlist community complementary consent contentinfo cookie cookies dialog discussion disqus foot footer "
-    "footnav gdpr hidden login masthead menu menus modal nav navbar navigation newsletter notice notices "
+    "footnav gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices "
     "notification overlay pager pagination popup privacy promo promoted promotion recommended related remark replies "
     "reply respond rss search share sharing shoutbox sidebar signup skip skyscraper social sponsor sponsored "
     "sponsors subscribe subscription supplemental tags toolbar topbar widget".split()
@@ -46,15 +46,18 @@ _UNWANTED_ARTICLE = frozenset(
     "ad ads advert advertisement comment comments promo promoted recommended related replies reply sponsored".split()
 )
 _BESIDE = frozenset("free has is no non not with without".split())
+# Elements that hold the page: their class names drop nothing.
+_WHOLE = frozenset(["html", "body", "main"])
 _HEADERS = frozenset(["header", "head", "heading", "banner", "masthead", "topbar"])
 _WANTED = frozenset("article body content entry main post story text".split())
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+# One attribute with its value, if any; the style of what is not shown.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
+_UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -66,6 +69,26 @@ _MIN_PARAGRAPH, _PER_POINT, _MOST_BY_LENGTH = 25, 100, 3
 _LINKS_ONLY, _SIBLING_SHARE, _SIBLING_POINTS = 0.5, 0.2, 10.0
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by name in lower case; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for match in _ATTRIBUTE.finditer(raw):
+        value = match[2] or match[3] or match[4] or ""
+        found.setdefault(match[1].lower(), html.unescape(value) if "&" in value else value)
+    return found
+
+
+def _hidden(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether the page does not show an element: by an attribute, its style or a class of that name."""
+    return (
+        attributes.get("hidden", "false").strip().lower() not in ("false", "until-found")
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_UNSHOWN.search(attributes.get("style", "")))
+        or tag not in _WHOLE
+        and "hidden" in attributes.get("class", "").lower().split()
+    )
+
+
 class _Node:
     __slots__ = ("begin", "chars", "dropped", "end", "links", "link_chars", "parent", "points", "tag", "wanted")
 
@@ -136,7 +159,7 @@ class _Tree:
             self._in_link = not closing
             self._links += not closing
         if tag in _INLINE:
-            if not closing and attributes and tag not in _VOID and _HIDDEN.search(attributes):
+            if not closing and attributes and tag not in _VOID and _hidden(tag, _attributes(attributes)):
                 self._open(tag, attributes)
             elif closing and self.stack[-1].tag == tag:
                 self._close(tag)
@@ -156,9 +179,10 @@ class _Tree:
     def _open(self, tag: str, attributes: str) -> None:
         parent = self.stack[-1]
         names: set[str] = set()
-        if attributes:
-            for match in _ATTRIBUTE.finditer(attributes):
-                for name in (match[2] or match[3] or match[4] or "").lower().split():
+        values = _attributes(attributes) if attributes else {}
+        if values:
+            for key in ("class", "id", "role"):
+                for name in values.get(key, "").lower().split():
                     words = _WORDS.findall(name)
                     if not _BESIDE.intersection(words):
                         names.update(words)
@@ -167,9 +191,9 @@ class _Tree:
             parent.dropped
             or tag in _DROPPED
             or (tag == "header" and not inside)
-            or bool(attributes and _HIDDEN.search(attributes))
+            or bool(values and _hidden(tag, values))
         )
-        if not dropped and names and tag not in ("html", "body", "main"):
+        if not dropped and names and tag not in _WHOLE:
             unwanted = _UNWANTED_ARTICLE if tag == "article" else _UNWANTED - _HEADERS if inside else _UNWANTED | _HEADERS
             dropped = bool(names & unwanted)
         node = _Node(tag, parent, dropped, tag in ("article", "main") or bool(names & _WANTED))

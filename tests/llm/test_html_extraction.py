@@ -43,6 +43,24 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body style='overflow:hidden'><article style='overflow: hidden'><p>{LONG}</p></article></body>", LONG),
+        (f"<body class='overflow-hidden'><div class='overflow-hidden'><p>{LONG}</p></div></body>", LONG),
+        (f"<p>{LONG} <a href='/hidden-gems'>gems</a> and <a title='The hidden cost' href=x>cost</a></p>", f"{LONG} gems and cost"),
+        (f"<body class='hidden'><main class='hidden'><p>{LONG}</p></main></body>", LONG),
+        (f"<p data-x='hidden' title='display:none aria-hidden=true'>{LONG}</p>", LONG),
+        (f"<p data-hidden=1 hidden=until-found>{LONG}</p><p style='content:\"visibility:hidden\"'>{LONG}2</p>", f"{LONG}\n{LONG}2"),
+        (f"<p class='a hidden'>{LONG}</p><p hidden=''>{LONG}</p><p HIDDEN class=x>{LONG}</p><p>{LONG}2</p>", f"{LONG}2"),
+        (f"<p>{LONG}<span aria-hidden=true>x</span></p><p style='color:red; VISIBILITY : hidden'>{LONG}</p>", LONG),
+        (f"<p>{LONG}<span style=display:none>x</span><b style='display:none !important'>y</b></p>", LONG),
+    ],
+)
+def test_only_hidden_elements_go(page, text):
+    assert main_text(page) == text
+
+
 def test_deep_long_and_broken_pages_end():
     assert main_text("<div>" * 3000 + LONG + "</div>" * 3000) == LONG
     assert len(main_text("<p>" + "word, " * 200_000)) == 6 * 200_000 - 1
