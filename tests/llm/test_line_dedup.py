@@ -137,6 +137,22 @@ def test_few_shingles_are_found_as_often_as_many(spark):
         assert missed <= claimed + 4 * max(1, claimed) ** 0.5, (n, missed, claimed)
 
 
+def test_texts_of_one_id_lose_their_own_lines_only(spark):
+    a, b, c, d = (prose(k, 20) for k in range(700, 704))
+    rows = [
+        *[(1, a), (91, a), (91, b), (91, b + "\n" + a)],  # b stays in one of the texts of 91
+        *[(92, c), (92, c), (92, d + "\n" + c)],  # equal rows are one document
+        *[r for r in texts() if r[0] in (50, 90)], *((r[0] + 200, r[1]) for r in texts() if r[0] == 91),
+    ]
+    left = L.without_repeated_lines(documents(spark, rows)).collect()
+    got = sorted((r.doc_id, r.text) for r in left)
+    kept = [line for id_, text in set(got) for line in text.split("\n") if line]
+    assert sorted(kept) == sorted({line for _, text in rows for line in text.split("\n")})
+    assert [t for i, t in got if i == 92] == sorted([c, c, d])
+    assert [t for i, t in got if i == 291] == ["", prose(30, 40)] and [t for i, t in got if i == 90] == ["", ""]
+    assert (1, a) in got and len(got) == len(rows)
+
+
 def test_empty_table(spark):
     assert L.repeated_lines(documents(spark, [])).collect() == []
     assert L.without_repeated_lines(documents(spark, [])).collect() == []
