@@ -1,6 +1,5 @@
 """Repeated lines against all pairs of whole sets."""
 
-import random
 import re
 from itertools import combinations
 
@@ -115,28 +114,6 @@ def test_pieces_have_all_shingles(spark):
     assert got and all(sorted(s) == sorted(w[k : k + 16] for k in range(len(w) - 15)) for w, s in got.items())
 
 
-def test_few_shingles_are_found_as_often_as_many(spark):
-    # Pairs of 4 to 10 words of 16 characters, all but the last of the longer line shared: J = n / (n + 1).
-    def word(seed):
-        return "".join(random.Random(seed).choices("abcdefghijklmnopqrstuvwxyz", k=16))
-
-    sizes, pairs = range(4, 11), 800
-    rows = []
-    for n in sizes:
-        for k in range(pairs):
-            words = [word(f"{n} {k} {at}") for at in range(n + 1)]
-            id_ = 10_000 * n + 2 * k
-            rows += [(id_, " ".join(words[:-1])), (id_ + 1, " ".join(words))]
-    lines = L._lines(documents(spark, rows).select("doc_id", "text"))
-    met = {r.id for r in L.components(L._candidates(lines), "small-sets").collect()}
-    names = {r.doc_id: r.h1 for r in lines.collect()}
-    for n in sizes:
-        missed = sum(names[10_000 * n + 2 * k] not in met for k in range(pairs))
-        similarity = n / (n + 1)
-        claimed = pairs * (1 - similarity**2) ** 6
-        assert missed <= claimed + 4 * max(1, claimed) ** 0.5, (n, missed, claimed)
-
-
 def test_texts_of_one_id_lose_their_own_lines_only(spark):
     a, b, c, d = (prose(k, 20) for k in range(700, 704))
     rows = [
