@@ -12,13 +12,16 @@ from clearwell.llm import (
     decontamination,
     embedding_dedup,
     html_extraction,
+    language_model,
     line_dedup,
     minhash_dedup,
+    periodic_runs,
     quality_model,
     sql,
     substring_dedup,
     token_counts,
     token_output,
+    whitening,
 )
 from clearwell.llm.common import ship_code, table
 
@@ -76,6 +79,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), numbers)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.language_scores(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and digests of the runs of texts with planted periods; ``without_repetitions`` gives plain texts."""
+    return periodic_runs.planted_runs(table(spark, sf_dir, "documents"))
+
+
 def _on_executors(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -97,6 +113,9 @@ QUERIES = {
         op8_token_output,
         op9_embedding_dedup,
         op10_line_dedup,
+        op11_embedding_whitening,
+        op12_language_model,
+        op13_periodic_runs,
     )
 }
 ORACLE_SQL = {
@@ -104,4 +123,5 @@ ORACLE_SQL = {
     "op4_suffix_dedup": sql.SUBSTRINGS,
     "op9_embedding_dedup": sql.EMBEDDINGS,
     "op10_line_dedup": sql.LINES,
+    "op13_periodic_runs": sql.RUNS,
 }

@@ -107,3 +107,42 @@ SELECT doc_id, CAST(coalesce(len(lines), 0) AS INTEGER) AS n_lines, CAST(coalesc
     coalesce(numbers, '') AS removed
 FROM split LEFT JOIN removed USING (doc_id)
 """
+
+RUNS = """
+WITH hashed AS (
+    SELECT doc_id, text, CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+        lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)),
+            lambda b, k: xor(b >> 1, 3988292384 * (b & 1)))), 4294967295) AS BIGINT) AS h
+    FROM documents),
+plain AS (
+    SELECT doc_id, h, h // 10 AS g, list_filter(
+        regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM hashed),
+placed AS (
+    SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n,
+        CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % greatest(len(w), 1) ELSE len(w) END AS a, g FROM plain),
+planted AS (
+    SELECT doc_id, n, list_transform(range(n), lambda i:
+        w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) AS w FROM placed),
+words AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM planted),
+equals AS (
+    SELECT x.doc_id, y.i - x.i AS p, x.i AS i FROM words x
+    JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM equals),
+stretches AS (
+    SELECT doc_id, p, min(i) AS s, count(*) + p AS l FROM islands GROUP BY doc_id, p, island
+    HAVING count(*) + p >= greatest(6, 4 * p)),
+runs AS (SELECT doc_id, s, l, min(p) AS p FROM stretches GROUP BY doc_id, s, l),
+told AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || p || chr(10), '' ORDER BY s, p) AS listed,
+        first(struct_pack(s := s, l := l, p := p) ORDER BY CAST(l AS DOUBLE) / p DESC, s, p) AS best
+    FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + p, s + l)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start,
+    CAST(best.l AS BIGINT) AS length, CAST(best.p AS BIGINT) AS period,
+    CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+    sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
