@@ -6,18 +6,20 @@ them on the documents that are not held out; the scaled forward recursion gives
 probability of a whole text.
 
 * Documents become *blocks* of about ``BLOCK_TOKENS`` tokens with a dictionary of their own,
-  so a word is one row a block however often it occurs. A block is the unit of work: its
-  tokens meet the parameters of its words in one group, and its expected counts leave it
-  summed by word. No key has more rows than there are blocks.
-* The vocabulary is a table that grows with the corpus, never on the driver. A word seen
-  ``LEAST_COUNT`` times or more has a probability in each state: expected counts plus half a
-  count shared out among the states, so that the mixture of the states is the unigram
-  ``(c + 0.5) / (N + 0.5 (V + 1))``. Rarer and unknown words have that unigram probability
-  times a factor of the state, learnt for all rare words together.
-* Long texts are cut into pieces of ``PIECE`` tokens only to be worked on at once: the
-  matrix that carries the states over each piece joins them again, exactly.
-
-The first state of a word follows from its digest and the states persist at first, so
+  so a word is sent once a block however often it occurs. Words are known by a 64-bit
+  hash; its upper end names the *shard* of the vocabulary that counts the word.
+* A block sends each shard the hashes of its words as one row, and gets their counts, or
+  what the model says of them, as one row. A shard is streamed: it holds its own words and one
+  message. Shards and blocks both grow in number with the corpus, not in size.
+* A word seen ``LEAST_COUNT`` times or more is shared out among the states: its expected counts
+  and half a count, shared out like all tokens, make its probability in each state. The shares
+  are kept, and travel, as 16-bit fractions. Rarer words, and one that stands for all unknown
+  ones, have their counts and half a count times a factor of the state, learnt for all of them
+  together. The probabilities of a state add up to one.
+* Long texts are cut into pieces only to be worked on at once: the matrix that carries the
+  states over each piece joins them again, exactly.
+
+The first state of a word follows from its hash and the states persist at first, so
 training starts alike at every size. Every round covers every training document.
 
 Null and empty texts are one end. A null id is never held out; repeated rows and ids are
@@ -28,9 +30,11 @@ probability 1. An empty table gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +44,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import drop_stored, ship_code, stored
+from clearwell.llm.common import ship_code, stored
 
-STATES, ROUNDS = 8, 4
-BLOCK_TOKENS, PIECE = 1_500_000, 4096
+STATES, ROUNDS = 8, 3
+BLOCK_TOKENS, AT_ONCE = 4_000_000, 1_000_000
+# Texts of more tokens than the first are cut into pieces of the second.
+LONG, PIECE = 4096, 1024
+_PIECES_AT_ONCE = 2048
+# Probabilities are scaled after so many tokens, in double precision.
+_SCALED_EVERY = 8
+SHARD_WORDS = 1_000_000
 LEAST_COUNT = 5
-# The first model: how much of a word is in the state of its digest, how often a state stays.
+# The first model: how much of a word is in the state of its hash, how often a state stays.
 OWN_SHARE, PERSISTENCE = 0.7, 0.98
 HELD_OUT_OF, HELD_OUT = 5, 1
 
@@ -54,7 +64,9 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _SLICE = 1 << 20
 # No word holds white space.
 END = b"\n"
-_WORD, _RARE, _FIRST, _NEXT = 0, 1, 2, 3
+# Sums that belong to no shard of words are spread over rows of their own.
+_SPREAD = 64
+_PARTS = 65535
 
 
 def held_out(doc_id: Column) -> Column:
@@ -83,17 +95,18 @@ def _word_lists(text: str | None) -> Iterator[list[bytes]]:
     yield [END]
 
 
-def _squeezed(values: np.ndarray) -> bytes:
+def _squeezed(values: np.ndarray, kind: str = "<i4") -> bytes:
     """Small integers, the bytes of like weight together, compressed."""
-    planes = np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, int(kind[-1])).T)
     return zstandard.compress(planes.tobytes(), 1)
 
 
-def _unsqueezed(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+def _unsqueezed(data: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(int(kind[-1]), -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+# ``hashes`` and ``n``, the number of occurrences, are in the order of the hashes, where word k is number ``order[k]``.
 _BLOCK = pa.schema(
     [
         ("block", pa.int64()),
@@ -101,14 +114,15 @@ _BLOCK = pa.schema(
         ("doc_ids", pa.list_(pa.int64())),
         ("lengths", pa.binary()),
         ("tokens", pa.binary()),
-        ("h1", pa.list_(pa.int64())),
-        ("h2", pa.list_(pa.int64())),
-        ("n", pa.list_(pa.int64())),
+        ("words", pa.int64()),
+        ("order", pa.binary()),
+        ("hashes", pa.binary()),
+        ("n", pa.binary()),
     ]
 )
 _BLOCK_DDL = (
-    "block long, held_out boolean, doc_ids array<long>, lengths binary, tokens binary, "
-    "h1 array<long>, h2 array<long>, n array<long>"
+    "block long, held_out boolean, doc_ids array<long>, lengths binary, tokens binary, words long, "
+    "order binary, hashes binary, n binary"
 )
 
 
@@ -135,16 +149,18 @@ class _Block:
 
     def row(self, block: int) -> pa.RecordBatch:
         tokens = np.concatenate(self.tokens)
-        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.numbers)), "<i8").reshape(-1, 2)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.numbers), np.uint64, len(self.numbers))
+        order = np.argsort(hashes)
         row = {
             "block": block,
             "held_out": self.held,
             "doc_ids": self.ids,
             "lengths": _squeezed(np.array(self.lengths)),
             "tokens": _squeezed(tokens),
-            "h1": digests[:, 0],
-            "h2": digests[:, 1],
-            "n": np.bincount(tokens, minlength=len(self.numbers)),
+            "words": len(hashes),
+            "order": _squeezed(order),
+            "hashes": hashes[order].tobytes(),
+            "n": _squeezed(np.bincount(tokens, minlength=len(hashes))[order]),
         }
         self.clear()
         return pa.RecordBatch.from_pylist([row], _BLOCK)
@@ -172,6 +188,113 @@ def blocks_of(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(_to_blocks, _BLOCK_DDL)
 
 
+# Messages between blocks and shards.
+
+
+def _shards_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each hash; shards follow the order of the hashes."""
+    return (((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
+
+
+def _slices(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
+    owner = _shards_of(hashes, shards)
+    edges = np.flatnonzero(np.diff(owner)) + 1
+    for low, high in zip([0, *edges.tolist()], [*edges.tolist(), len(owner)], strict=True):
+        if high > low:
+            yield int(owner[low]), low, high
+
+
+def _asked(shards: int):
+    """A row for each block and shard: the hashes of its words there, and how often the block has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hashes, n = np.frombuffer(packed, "<u8"), _unsqueezed(numbers)
+                rows = [(s, block, hashes[a:b].tobytes(), _squeezed(n[a:b])) for s, a, b in _slices(hashes, shards)]
+                if rows:
+                    yield _batch(rows, _ASKED)
+
+    return run
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, field.type) for column, field in zip(columns, schema, strict=True)], schema=schema
+    )
+
+
+_ASKED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+_VOCABULARY = pa.schema(
+    [
+        ("shard", pa.int32()),
+        ("keys", pa.binary()),
+        ("counts", pa.binary()),
+        ("tokens", pa.int64()),
+        ("distinct", pa.int64()),
+        ("rare", pa.int64()),
+        ("frequent", pa.int64()),
+    ]
+)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+def _summed(keys: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, inverse, np.concatenate(numbers))
+    return distinct, total
+
+
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each shard, from messages sorted by shard."""
+    for shard, messages in groupby(_rows(batches), key=lambda row: row[0]):
+        keys, numbers, waiting = [], [], 0
+        for _, _, packed, n in messages:
+            keys.append(np.frombuffer(packed, "<u8"))
+            numbers.append(_unsqueezed(n).astype(np.int64))
+            waiting += len(keys[-1])
+            if waiting > max(SHARD_WORDS, len(keys[0])):
+                merged = _summed(keys, numbers)
+                keys, numbers, waiting = [merged[0]], [merged[1]], 0
+        distinct, total = _summed(keys, numbers)
+        rare, frequent = int(total[total < LEAST_COUNT].sum()), int((total >= LEAST_COUNT).sum())
+        row = (shard, distinct.tobytes(), _squeezed(total, "<i8"), int(total.sum()), len(distinct), rare, frequent)
+        yield _batch([row], _VOCABULARY)
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each message the counts of its words, and which of the frequent words of the shard they are."""
+    own, known, counts, rank = None, np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    for shard, block, packed, numbers in _rows(batches):
+        keys = np.frombuffer(packed, "<u8")
+        if block is None:
+            own, known, counts = shard, keys, _unsqueezed(numbers, "<i8")
+            rank = np.cumsum(counts >= LEAST_COUNT) - 1
+            continue
+        found = np.zeros(len(keys), np.int64)
+        frequent = np.empty(0, np.int64)
+        if own == shard:
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            found = np.where(known[at] == keys, counts[at], 0)
+            frequent = rank[at[found >= LEAST_COUNT]]
+        yield _batch([(shard, block, _squeezed(found, "<i8"), _squeezed(frequent))], _ANSWER)
+
+
+_ANSWER = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("counts", pa.binary()), ("frequent", pa.binary())])
+
+
+def _by_shard(own: DataFrame, messages: DataFrame) -> DataFrame:
+    """Messages of a shard behind the row of the shard, which has no block."""
+    both = own.unionByName(messages, allowMissingColumns=True).select(messages.columns)
+    return both.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_first("block"))
+
+
 # The model.
 
 
@@ -182,6 +305,7 @@ class Parameters:
     tokens: int
     distinct: int
     rare_tokens: int
+    frequent: int
     totals: np.ndarray  # expected tokens of a state
     rare: np.ndarray  # of them, rare words
     first: np.ndarray
@@ -190,102 +314,112 @@ class Parameters:
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
 
-    def emissions(self, counts: np.ndarray, local: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        """Probability of each word in each state; ``expected`` are counts of the frequent ones at ``local``."""
+    def emissions(self, counts: np.ndarray, local: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """Probability of each word in each state; ``shares`` are those of the frequent ones, at ``local``."""
         if not self.tokens:
             return np.ones((len(counts), STATES))
-        share = self.totals / self.tokens
-        factor = self.rare / (share * self.rare_tokens) if self.rare_tokens else np.ones(STATES)
-        result = self.unigram(counts)[:, None] * factor
-        scale = 1 + 0.5 * (self.distinct + 1) / self.tokens
-        result[local] = (expected + 0.5 * share) / (self.totals * scale)
+        size = self.totals / self.tokens
+        factor = self.rare / self.rare_tokens if self.rare_tokens else size
+        whole = self.totals + 0.5 * size * self.frequent + 0.5 * factor * (self.distinct - self.frequent + 1)
+        result = (counts[:, None] + 0.5) * factor / whole
+        result[local] = (counts[local, None] * shares + 0.5 * size) / whole
         return result
 
 
 @dataclass(frozen=True)
 class Model:
-    """``words(h1, h2, c, e0, ...)`` holds the expected counts of each frequent word by state."""
+    """``vocabulary`` and ``words`` have a row for each shard: hashes and counts, shares of the frequent words."""
 
+    shards: int
     vocabulary: DataFrame
     words: DataFrame
     parameters: Parameters
 
 
-_EXPECTED = [f"e{k}" for k in range(STATES)]
+def _packed_shares(expected: np.ndarray) -> bytes:
+    """Rows of expected counts as fractions of their sums."""
+    return _squeezed(np.rint(expected / expected.sum(axis=1, keepdims=True) * _PARTS).ravel(), "<u2")
 
 
-def _with_counts(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A block with the training counts of its words, and which of them are frequent."""
-    row = left.to_pylist()[0]
-    size = len(row.pop("n"))
-    digests = [np.array(row.pop(name), np.int64) for name in ("h1", "h2")]
-    counts = np.zeros(size, np.int64)
-    counts[right["local"].to_numpy()] = right["c"].to_numpy()
-    local = np.flatnonzero(counts >= LEAST_COUNT)
-    row |= {"counts": counts, "local": local, "h1": digests[0][local], "h2": digests[1][local]}
-    return pa.Table.from_pylist([row], _COUNTED)
+def _shares(data: bytes) -> np.ndarray:
+    parts = _unsqueezed(data, "<u2").reshape(-1, STATES).astype(float)
+    return parts / parts.sum(axis=1, keepdims=True)
 
 
-_COUNTED = pa.schema(
-    [
-        *list(_BLOCK)[:5],
-        ("counts", pa.list_(pa.int64())),
-        ("local", pa.list_(pa.int32())),
-        ("h1", pa.list_(pa.int64())),
-        ("h2", pa.list_(pa.int64())),
-    ]
-)
-_COUNTED_DDL = (
-    "block long, held_out boolean, doc_ids array<long>, lengths binary, tokens binary, counts array<long>, "
-    "local array<int>, h1 array<long>, h2 array<long>"
-)
+def vocabulary_of(blocks: DataFrame, shards: int) -> DataFrame:
+    """Every word of the training documents, by hash, and how often it occurs."""
+    asked = blocks.where("NOT held_out").select("block", "hashes", "n").mapInArrow(_asked(shards), _ddl(_ASKED))
+    sorted_ = asked.repartition("shard").sortWithinPartitions("shard")
+    return sorted_.mapInArrow(_counted_words, _ddl(_VOCABULARY))
 
 
-def vocabulary_of(blocks: DataFrame) -> DataFrame:
-    """Every word of the training documents, by digest, and how often it occurs."""
-    words = blocks.where("NOT held_out").select(F.inline(F.arrays_zip("h1", "h2", "n")))
-    return words.groupBy("h1", "h2").agg(F.sum("n").alias("c"))
+def _ddl(schema: pa.Schema) -> str:
+    kinds = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.float64(): "double", pa.bool_(): "boolean"}
+    return ", ".join(f"{field.name} {kinds[field.type]}" for field in schema)
 
 
-def counted(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    words = blocks.select(F.col("block").alias("of"), F.posexplode(F.arrays_zip("h1", "h2")).alias("local", "w"))
-    known = words.select("of", "local", "w.h1", "w.h2").join(vocabulary, ["h1", "h2"]).select("of", "local", "c")
-    return blocks.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_with_counts, _COUNTED_DDL)
+def counts_of(blocks: DataFrame, vocabulary: DataFrame, shards: int) -> DataFrame:
+    """A row for each block and shard: training counts of the block's words there, and which are frequent."""
+    asked = blocks.select("block", "hashes", "n").mapInArrow(_asked(shards), _ddl(_ASKED))
+    own = vocabulary.select("shard", "keys", F.col("counts").alias("n"))
+    return _by_shard(own, asked).mapInArrow(_answers, _ddl(_ANSWER))
 
 
-def _started(vocabulary: DataFrame) -> Model:
-    """Persistent states, each with the words whose digests name it."""
-    row = vocabulary.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"),
-        F.count(F.lit(1)).alias("distinct"),
-        F.coalesce(F.sum(F.when(F.col("c") < LEAST_COUNT, F.col("c"))), F.lit(0)).alias("rare"),
-    ).first()
-    even = (1 - OWN_SHARE) / STATES
-    own = F.pmod("h2", F.lit(STATES))
-    expected = [
-        (F.col("c") * F.when(own == k, even + OWN_SHARE).otherwise(even)).alias(name) for k, name in enumerate(_EXPECTED)
-    ]
-    words = vocabulary.where(F.col("c") >= LEAST_COUNT).select("h1", "h2", "c", *expected)
-    sums = words.agg(*[F.coalesce(F.sum(name), F.lit(0.0)) for name in _EXPECTED]).first()
-    rare = np.full(STATES, row["rare"] / STATES)
+_WORDS = pa.schema([("shard", pa.int32()), ("shares", pa.binary()), *[(f"e{k}", pa.float64()) for k in range(STATES)]])
+
+
+def _first_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Persistent states, each with the words whose hashes name it."""
+    for shard, packed, numbers in _rows(batches):
+        counts = _unsqueezed(numbers, "<i8")
+        frequent = counts >= LEAST_COUNT
+        keys = np.frombuffer(packed, "<u8")[frequent]
+        expected = np.full((len(keys), STATES), (1 - OWN_SHARE) / STATES)
+        expected[np.arange(len(keys)), (keys % np.uint64(STATES)).astype(int)] += OWN_SHARE
+        yield _words_row(shard, expected, counts[frequent])
+
+
+def _words_row(shard: int, expected: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    packed = _packed_shares(expected)
+    return _batch([(shard, packed, *(counts @ _shares(packed)).tolist())], _WORDS)
+
+
+def _total(words: DataFrame) -> np.ndarray:
+    return np.array(words.agg(*[F.coalesce(F.sum(f"e{k}"), F.lit(0.0)) for k in range(STATES)]).first())
+
+
+def _started(vocabulary: DataFrame, shards: int) -> Model:
+    sums = [F.coalesce(F.sum(name), F.lit(0)) for name in ("tokens", "distinct", "rare", "frequent")]
+    tokens, distinct, rare, frequent = vocabulary.agg(*sums).first()
+    words = vocabulary.select("shard", "keys", "counts").mapInArrow(_first_shares, _ddl(_WORDS))
+    even = np.full(STATES, rare / STATES)
+    persistent = np.full((STATES, STATES), (1 - PERSISTENCE) / STATES) + np.eye(STATES) * PERSISTENCE
     parameters = Parameters(
-        row["tokens"],
-        row["distinct"],
-        row["rare"],
-        np.array(sums) + rare,
-        rare,
-        np.full(STATES, 1 / STATES),
-        np.full((STATES, STATES), (1 - PERSISTENCE) / STATES) + np.eye(STATES) * PERSISTENCE,
+        tokens, distinct, rare, frequent, _total(words) + even, even, np.full(STATES, 1 / STATES), persistent
     )
-    return Model(vocabulary, words, parameters)
+    return Model(shards, vocabulary, words, parameters)
+
+
+_TOLD = pa.schema([*_ANSWER, ("shares", pa.binary())])
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each message the shares of its frequent words."""
+    own, parts = None, np.empty((0, STATES), "<u2")
+    for shard, block, counts, frequent, packed in _rows(batches):
+        if block is None:
+            own, parts = shard, _unsqueezed(packed, "<u2").reshape(-1, STATES)
+        else:
+            chosen = parts[_unsqueezed(frequent)] if own == shard else parts[:0]
+            yield _batch([(shard, block, counts, frequent, _squeezed(chosen.ravel(), "<u2"))], _TOLD)
 
 
-def _with_parameters(blocks: DataFrame, model: Model):
-    """Blocks beside the expected counts of their frequent words."""
-    words = blocks.select(F.col("block").alias("of"), F.inline(F.arrays_zip("local", "h1", "h2")))
-    met = words.join(model.words, ["h1", "h2"]).select("of", "local", "h1", "h2", "c", *_EXPECTED)
-    kept = blocks.drop("h1", "h2", "local")
-    return kept.groupBy("block").cogroup(met.groupBy("of"))
+def _with_shares(blocks: DataFrame, answers: DataFrame, model: Model):
+    """Blocks beside what the shards say of their words."""
+    asked = answers.withColumn("shares", F.lit(None).cast("binary"))
+    told = _by_shard(model.words.select("shard", "shares"), asked).mapInArrow(_told, _ddl(_TOLD))
+    kept = blocks.drop("hashes", "words")
+    return kept.groupBy("block").cogroup(told.withColumnRenamed("block", "of").groupBy("of"))
 
 
 # Recursions.
@@ -306,35 +440,40 @@ class _Pieces:
         return zip(self.offsets.tolist(), self.active.tolist(), strict=False)
 
 
-def _transfers(pieces: _Pieces, given: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _transfers(pieces: _Pieces, tokens: np.ndarray, given: np.ndarray, following: np.ndarray):
     """For each piece and each state of its first token: the states after its last, and the log of the weight."""
     state, logs = None, None
-    for offset, n in pieces.steps():
-        now = given[pieces.places[offset : offset + n]][:, None, :]
-        if state is None:
-            state = np.eye(STATES)[None] * now
-            logs = np.zeros((n, STATES))
+    for t, (offset, n) in enumerate(pieces.steps()):
+        now = given[tokens[pieces.places[offset : offset + n]]][:, None, :]
+        if t == 0:
+            state, logs = np.eye(STATES)[None] * now, np.zeros((n, STATES))
         else:
-            state[:n] = (state[:n] @ following) * now
-        total = state[:n].sum(axis=2)
-        state[:n] /= total[:, :, None]
-        logs[:n] += np.log(total)
+            state[:n] = (state[:n].reshape(-1, STATES) @ following).reshape(n, STATES, STATES) * now
+        if t % _SCALED_EVERY == 0:
+            _rescale(state[:n], logs[:n])
+    _rescale(state, logs)
     back = np.argsort(pieces.order)
     return state[back], logs[back]
 
 
-def _likelihoods(pieces: _Pieces, given: np.ndarray, first: np.ndarray, following: np.ndarray) -> np.ndarray:
+def _rescale(state: np.ndarray, logs: np.ndarray) -> None:
+    total = state.sum(axis=-1)
+    state /= total[..., None]
+    logs += np.log(total)
+
+
+def _likelihoods(pieces: _Pieces, tokens: np.ndarray, given: np.ndarray, first: np.ndarray, following: np.ndarray):
     """Natural logs of the probabilities of whole sequences."""
     state, logs = None, None
-    for offset, n in pieces.steps():
-        now = given[pieces.places[offset : offset + n]]
-        if state is None:
+    for t, (offset, n) in enumerate(pieces.steps()):
+        now = given[tokens[pieces.places[offset : offset + n]]]
+        if t == 0:
             state, logs = first * now, np.zeros(n)
         else:
             state[:n] = (state[:n] @ following) * now
-        total = state[:n].sum(axis=1)
-        state[:n] /= total[:, None]
-        logs[:n] += np.log(total)
+        if t % _SCALED_EVERY == 0:
+            _rescale(state[:n], logs[:n])
+    _rescale(state, logs)
     return logs[np.argsort(pieces.order)]
 
 
@@ -345,42 +484,43 @@ class _Sequences:
         self.tokens, self.lengths, self.given, self.parameters = tokens, lengths, given, parameters
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
-        self.short = np.flatnonzero(lengths <= PIECE)
-        self.long = np.flatnonzero(lengths > PIECE)
-
-    def emitted(self, dtype: type) -> np.ndarray:
-        return self.given.astype(dtype)[self.tokens]
-
-    def cut(self, document: int) -> tuple[np.ndarray, np.ndarray]:
-        starts = np.arange(self.starts[document], self.ends[document], PIECE)
-        return starts, np.minimum(self.ends[document] - starts, PIECE)
-
-    def joined(self, document: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-        """Log probability of a long document; states before each piece, after it, and weights from its first token on."""
+        by_length = np.argsort(lengths, kind="stable")
+        self.short = by_length[lengths[by_length] <= LONG]
+        self.long = np.flatnonzero(lengths > LONG)
+        starts = [np.arange(self.starts[d], self.ends[d], PIECE) for d in self.long.tolist()]
+        # The pieces of the k-th long document are those from bounds[k] on.
+        self.bounds = np.cumsum([0, *map(len, starts)])
+        self.cuts = np.concatenate([*starts, np.empty(0, np.int64)])
+        ends = np.repeat(self.ends[self.long], np.diff(self.bounds))
+        self.sizes = np.minimum(ends - self.cuts, PIECE)
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Log probabilities of the long documents; of each piece the states before and after it, and weights from
+        its first token on."""
         p = self.parameters
-        starts, lengths = self.cut(document)
-        parts = []
-        for at in range(0, len(starts), 64):
-            low, high = starts[at], starts[min(at + 64, len(starts)) - 1] + PIECE
-            given = self.given[self.tokens[low:high]]
-            parts.append(_transfers(_Pieces(starts[at : at + 64] - low, lengths[at : at + 64]), given, p.following))
+        parts = [(np.empty((0, STATES, STATES)), np.empty((0, STATES)))]
+        for at in range(0, len(self.cuts), _PIECES_AT_ONCE):
+            some = slice(at, at + _PIECES_AT_ONCE)
+            parts.append(_transfers(_Pieces(self.cuts[some], self.sizes[some]), self.tokens, self.given, p.following))
         state, logs = (np.concatenate(x) for x in zip(*parts, strict=True))
-        most = logs.max(axis=1)
+        most = logs.max(axis=1, initial=-np.inf)
         weight = np.exp(logs - most[:, None])
-        before, after = np.empty((2, len(starts), STATES))
-        total, entering = 0.0, p.first
-        for k in range(len(starts)):
-            before[k] = entering
-            leaving = (entering * weight[k]) @ state[k]
-            total += most[k] + np.log(leaving.sum())
-            after[k] = leaving / leaving.sum()
-            entering = after[k] @ p.following
-        onward = np.empty((len(starts), STATES))
-        rest = np.ones(STATES)
-        for k in range(len(starts) - 1, -1, -1):
-            onward[k] = weight[k] * (state[k] @ rest)
-            onward[k] /= onward[k].max()
-            rest = p.following @ onward[k]
+        before, after, onward = np.empty((3, len(state), STATES))
+        total = np.zeros(len(self.long))
+        for k in range(len(self.long)):
+            pieces = range(self.bounds[k], self.bounds[k + 1])
+            entering = p.first
+            for at in pieces:
+                before[at] = entering
+                leaving = (entering * weight[at]) @ state[at]
+                total[k] += most[at] + np.log(leaving.sum())
+                after[at] = leaving / leaving.sum()
+                entering = after[at] @ p.following
+            rest = np.ones(STATES)
+            for at in reversed(pieces):
+                onward[at] = weight[at] * (state[at] @ rest)
+                onward[at] /= onward[at].max()
+                rest = p.following @ onward[at]
         return total, before, after, onward
 
     def log10(self) -> np.ndarray:
@@ -388,12 +528,9 @@ class _Sequences:
         p = self.parameters
         for some in _by_tokens(self.lengths[self.short]):
             chosen = self.short[some]
-            flat = np.concatenate([self.tokens[a:b] for a, b in zip(self.starts[chosen], self.ends[chosen], strict=True)])
-            lengths = self.lengths[chosen]
-            pieces = _Pieces(np.cumsum(lengths) - lengths, lengths)
-            result[chosen] = _likelihoods(pieces, self.given[flat], p.first, p.following)
-        for document in self.long.tolist():
-            result[document] = self.joined(document)[0]
+            pieces = _Pieces(self.starts[chosen], self.lengths[chosen])
+            result[chosen] = _likelihoods(pieces, self.tokens, self.given, p.first, p.following)
+        result[self.long] = self.joined()[0]
         # A sum of ones may round to more than one.
         return np.minimum(result, 0) / np.log(10)
 
@@ -401,30 +538,29 @@ class _Sequences:
         """Expected counts of each word in each state, of first states and of transitions."""
         p = self.parameters
         words = np.zeros((len(self.given), STATES))
+        given = self.given.astype(np.float32)
         first, following = np.zeros(STATES), np.zeros((STATES, STATES))
-        starts, lengths = [self.starts[self.short]], [self.lengths[self.short]]
-        entering = [np.broadcast_to(p.first, (len(self.short), STATES))]
-        rest = [np.ones((len(self.short), STATES))]
-        opening = [np.ones(len(self.short), bool)]
-        for document in self.long.tolist():
-            cut = self.cut(document)
-            _, before, after, onward = self.joined(document)
-            beyond = np.ones_like(after)
-            beyond[:-1] = onward[1:] @ p.following.T
-            beyond /= (after * beyond).sum(axis=1, keepdims=True)
-            crossing = after[:-1, :, None] * p.following * onward[1:, None, :]
-            following += (crossing / crossing.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            starts.append(cut[0])
-            lengths.append(cut[1])
-            entering.append(before)
-            rest.append(beyond)
-            opening.append(np.arange(len(cut[0])) == 0)
-        starts, lengths, entering, rest, opening = map(np.concatenate, (starts, lengths, entering, rest, opening))
+        _, before, after, onward = self.joined()
+        # All pieces but the last of a document lead on to the next.
+        leads = np.ones(len(self.cuts), bool)
+        leads[self.bounds[1:] - 1] = False
+        at = np.flatnonzero(leads)
+        crossing = after[at][:, :, None] * p.following * onward[at + 1][:, None, :]
+        following += (crossing / crossing.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        beyond = np.ones_like(after)
+        beyond[at] = onward[at + 1] @ p.following.T
+        beyond /= (after * beyond).sum(axis=1, keepdims=True)
+        starts = np.concatenate([self.starts[self.short], self.cuts])
+        lengths = np.concatenate([self.lengths[self.short], self.sizes])
+        n = len(self.short)
+        entering = np.concatenate([np.broadcast_to(p.first, (n, STATES)), before])
+        rest = np.concatenate([np.ones((n, STATES)), beyond])
+        opening = np.concatenate([np.ones(n, bool), np.isin(np.arange(len(self.cuts)), self.bounds[:-1])])
         for some in _by_tokens(lengths):
             pieces = _Pieces(starts[some], lengths[some])
             chosen = some[pieces.order]
             visits, moves, opened = _smoothed(
-                pieces, self.tokens, self.given, p.following, entering[chosen], rest[chosen], opening[chosen]
+                pieces, self.tokens, given, p.following, entering[chosen], rest[chosen], opening[chosen]
             )
             local = self.tokens[pieces.places].astype(np.int64)
             for k in range(STATES):
@@ -435,9 +571,9 @@ class _Sequences:
 
 
 def _by_tokens(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Runs of sequences of about a block's tokens at most, the unit that is worked on at once."""
+    """Runs of sequences of about ``AT_ONCE`` tokens, the unit that is worked on at once."""
     if len(lengths):
-        group = (np.cumsum(lengths) - lengths) // BLOCK_TOKENS
+        group = (np.cumsum(lengths) - lengths) // AT_ONCE
         for chosen in np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(group)) + 1):
             yield chosen
 
@@ -447,7 +583,7 @@ def _smoothed(pieces, tokens, given, following, entering, rest, opening):
 
     Single precision: the sums it goes into are expected counts, not results.
     """
-    emitted = given.astype(np.float32)[tokens[pieces.places]]
+    emitted = given[tokens[pieces.places]]
     follow = following.astype(np.float32)
     ahead = np.empty_like(emitted)
     totals = np.empty(len(emitted), np.float32)
@@ -485,32 +621,131 @@ def _smoothed(pieces, tokens, given, following, entering, rest, opening):
 # Training and scores.
 
 
-def _block_of(left: pa.Table, right: pa.Table, parameters: Parameters):
-    row = left.to_pylist()[0]
-    counts = np.array(row["counts"], np.int64)
-    local = right["local"].to_numpy()
-    expected = np.stack([right[name].to_numpy() for name in _EXPECTED], axis=1)
-    given = parameters.emissions(counts, local, expected)
-    lengths = _unsqueezed(row["lengths"]).astype(np.int64)
-    return row, counts, local, _Sequences(_unsqueezed(row["tokens"]), lengths, given, parameters)
+class _Met:
+    """A block with what the shards say: counts and probabilities of its words, its documents as sequences."""
+
+    def __init__(self, left: pa.Table, right: pa.Table, parameters: Parameters) -> None:
+        self.row = left.to_pylist()[0]
+        order = _unsqueezed(self.row["order"])
+        messages = sorted(right.to_pylist(), key=lambda row: row["shard"])
+        counts = [_unsqueezed(message["counts"], "<i8") for message in messages]
+        # By shard, in the order of the hashes: which words are frequent, by their numbers here.
+        ends = np.cumsum([len(part) for part in counts])
+        self.counts = np.empty(len(order), np.int64)
+        self.counts[order] = np.concatenate(counts)
+        self.shards = [message["shard"] for message in messages]
+        self.frequent = [message["frequent"] for message in messages]
+        self.places = [
+            np.flatnonzero(part >= LEAST_COUNT) + end - len(part) for part, end in zip(counts, ends, strict=True)
+        ]
+        self.local = order[np.concatenate(self.places)]
+        shares = np.concatenate([_shares(message["shares"]) for message in messages])
+        given = parameters.emissions(self.counts, self.local, shares)
+        lengths = _unsqueezed(self.row["lengths"]).astype(np.int64)
+        self.sequences = _Sequences(_unsqueezed(self.row["tokens"]), lengths, given, parameters)
+
+
+_COUNTS = pa.schema([("shard", pa.int32()), ("frequent", pa.binary()), ("n", pa.binary()), ("shares", pa.binary())])
 
 
 def _expectations(parameters: Parameters):
-    """Expected counts of a block: a row for each frequent word, and for rare words, first states and transitions."""
+    """Expected counts of a block: a row for each shard, and one for rare words, first states and transitions."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        _, counts, local, sequences = _block_of(left, right, parameters)
-        words, first, following = sequences.expected()
-        rare = words[counts < LEAST_COUNT].sum(axis=0)
-        values = np.concatenate([words[local], rare[None], first[None], following])
-        part = np.concatenate([np.full(len(local), _WORD), [_RARE, _FIRST], _NEXT + np.arange(STATES)])
-        none = np.zeros(len(values) - len(local), np.int64)
-        named = [np.concatenate([right[name].to_numpy(), none]) for name in ("h1", "h2", "c")]
-        return pa.table([part.astype(np.int32), *named, *values.T], names=["part", "h1", "h2", "c", *_EXPECTED])
+        met = _Met(left, right, parameters)
+        words, first, following = met.sequences.expected()
+        numbers = _unsqueezed(met.row["n"])
+        rows, at = [], 0
+        for shard, frequent, places in zip(met.shards, met.frequent, met.places, strict=True):
+            if len(places):
+                own = words[met.local[at : at + len(places)]]
+                rows.append((shard, frequent, _squeezed(numbers[places]), _packed_shares(own)))
+                at += len(places)
+        rare = words[met.counts < LEAST_COUNT].sum(axis=0)
+        sums = np.concatenate([rare[None], first[None], following])
+        rows.append((-1 - met.row["block"] % _SPREAD, b"", b"", sums.tobytes()))
+        return pa.Table.from_batches([_batch(rows, _COUNTS)])
 
     return run
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the messages to each shard, from messages sorted by shard."""
+    for shard, messages in groupby(_rows(batches), key=lambda row: row[0]):
+        if shard < 0:
+            total = sum(np.frombuffer(message[3], float) for message in messages)
+            yield _batch([(shard, total.tobytes(), *[0.0] * STATES)], _WORDS)
+            continue
+        expected, counts = np.zeros((0, STATES)), np.zeros(0)
+        for _, frequent, n, shares in messages:
+            at, numbers = _unsqueezed(frequent), _unsqueezed(n)
+            more = int(at[-1]) + 1 - len(expected)
+            if more > 0:
+                expected = np.concatenate([expected, np.zeros((more, STATES))])
+                counts = np.concatenate([counts, np.zeros(more)])
+            expected[at] += numbers[:, None] * _shares(shares)
+            counts[at] += numbers
+        yield _words_row(shard, expected, counts)
+
+
+def _improved(training: DataFrame, answers: DataFrame, model: Model) -> Model:
+    """One round of Baum-Welch over all training blocks."""
+    counts = _with_shares(training, answers, model).applyInArrow(_expectations(model.parameters), _ddl(_COUNTS))
+    gathered = counts.repartition("shard").sortWithinPartitions("shard").mapInArrow(_gathered, _ddl(_WORDS))
+    told = stored(gathered, "hmm-words")
+    small = sum(np.frombuffer(row["shares"], float) for row in told.where("shard < 0").collect()).reshape(-1, STATES)
+    words = told.where("shard >= 0")
+    rare, first, moves = small[0], small[1] + 1, small[2:] + 1
+    parameters = replace(
+        model.parameters,
+        # No state dies out.
+        totals=np.maximum(_total(words) + rare, 1e-6),
+        rare=np.maximum(rare, 1e-9),
+        first=first / first.sum(),
+        following=moves / moves.sum(axis=1, keepdims=True),
+    )
+    return replace(model, words=words, parameters=parameters)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Stored blocks of documents, what the vocabulary says of their words, and the vocabulary."""
+
+    blocks: DataFrame
+    answers: DataFrame
+    vocabulary: DataFrame
+    shards: int
+
+
+def prepared(documents: DataFrame, model: Model | None = None) -> Prepared:
+    """Blocks of the documents, with the vocabulary of a model or that of their training part."""
+    ship_code(documents.sparkSession)
+    blocks = stored(blocks_of(documents), "hmm-blocks")
+    if model:
+        vocabulary, shards = model.vocabulary, model.shards
+    else:
+        words = blocks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+        shards = max(1, math.ceil(words / SHARD_WORDS))
+        vocabulary = stored(vocabulary_of(blocks, shards), "hmm-vocabulary")
+    return Prepared(blocks, stored(counts_of(blocks, vocabulary, shards), "hmm-answers"), vocabulary, shards)
+
+
+def trained(given: Prepared) -> Model:
+    """The model of the blocks that are not held out."""
+    model = _started(given.vocabulary, given.shards)
+    if model.parameters.tokens:
+        training = given.blocks.where("NOT held_out")
+        answers = given.answers.join(training.select("block"), "block", "left_semi").select(given.answers.columns)
+        for _ in range(ROUNDS):
+            model = _improved(training, answers, model)
+    return model
+
+
+def scored(given: Prepared, model: Model) -> DataFrame:
+    ddl = ", ".join(f"{name} {kind}" for name, kind in _SCORES)
+    return _with_shares(given.blocks, given.answers, model).applyInArrow(_score(model.parameters), ddl)
+
+
 _SCORES = [
     ("doc_id", "long"),
     ("held_out", "boolean"),
@@ -524,81 +759,36 @@ _SCORES = [
 
 def _score(parameters: Parameters):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row, counts, _, sequences = _block_of(left, right, parameters)
-        words = np.log10(parameters.unigram(counts))[sequences.tokens]
-        known = (counts > 0)[sequences.tokens].astype(np.int64)
-        n = len(row["doc_ids"])
+        met = _Met(left, right, parameters)
+        tokens, starts = met.sequences.tokens, met.sequences.starts
+        words = np.log10(parameters.unigram(met.counts))[tokens]
+        known = (met.counts > 0)[tokens].astype(np.int64)
+        n = len(starts)
         columns = [
-            pa.array(row["doc_ids"], pa.int64()),
-            pa.array([row["held_out"]] * n, pa.bool_()),
-            sequences.lengths,
-            np.add.reduceat(known, sequences.starts),
+            pa.array(met.row["doc_ids"], pa.int64()),
+            pa.array([met.row["held_out"]] * n, pa.bool_()),
+            met.sequences.lengths,
+            np.add.reduceat(known, starts),
             np.full(n, parameters.tokens),
-            np.add.reduceat(words, sequences.starts),
-            sequences.log10(),
+            np.add.reduceat(words, starts),
+            met.sequences.log10(),
         ]
         return pa.table(columns, names=[name for name, _ in _SCORES])
 
     return run
 
 
-def _improved(training: DataFrame, model: Model) -> Model:
-    """One round of Baum-Welch over all training blocks."""
-    ddl = "part int, h1 long, h2 long, c long, " + ", ".join(f"{name} double" for name in _EXPECTED)
-    counts = _with_parameters(training, model).applyInArrow(_expectations(model.parameters), ddl)
-    sums = [F.sum(name).alias(name) for name in _EXPECTED]
-    told = stored(counts.groupBy("part", "h1", "h2").agg(F.max("c").alias("c"), *sums), "hmm-counts")
-    small = {row["part"]: np.array(row[1:]) for row in told.where(F.col("part") > _WORD).select("part", *_EXPECTED).collect()}
-    words = told.where(F.col("part") == _WORD).drop("part")
-    frequent = np.array(words.agg(*[F.coalesce(F.sum(name), F.lit(0.0)) for name in _EXPECTED]).first())
-    moves = np.stack([small[_NEXT + k] for k in range(STATES)]) + 1
-    parameters = replace(
-        model.parameters,
-        # No state dies out.
-        totals=np.maximum(frequent + small[_RARE], 1e-6),
-        rare=np.maximum(small[_RARE], 1e-9),
-        first=(small[_FIRST] + 1) / (small[_FIRST] + 1).sum(),
-        following=moves / moves.sum(axis=1, keepdims=True),
-    )
-    return Model(model.vocabulary, words, parameters)
-
-
-def _trained(blocks: DataFrame, vocabulary: DataFrame) -> Model:
-    """The model of the blocks that are not held out; ``blocks`` and ``vocabulary`` are stored tables."""
-    model = _started(vocabulary)
-    if model.parameters.tokens:
-        for _ in range(ROUNDS):
-            model = _improved(blocks.where("NOT held_out"), model)
-    return model
-
-
-def _prepared(documents: DataFrame, vocabulary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Stored blocks with training counts, and the vocabulary they come from."""
-    ship_code(documents.sparkSession)
-    plain = stored(blocks_of(documents), "hmm-blocks")
-    if vocabulary is None:
-        vocabulary = stored(vocabulary_of(plain), "hmm-vocabulary")
-    blocks = stored(counted(plain, vocabulary), "hmm-counted")
-    drop_stored(plain)
-    return blocks, vocabulary
-
-
-def _scored(blocks: DataFrame, model: Model) -> DataFrame:
-    ddl = ", ".join(f"{name} {kind}" for name, kind in _SCORES)
-    return _with_parameters(blocks, model).applyInArrow(_score(model.parameters), ddl)
-
-
 def train(documents: DataFrame) -> Model:
     """The model of the documents that are not held out."""
-    return _trained(*_prepared(documents))
+    return trained(prepared(documents))
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """Scores of any documents by a model."""
-    return _scored(_prepared(documents, model.vocabulary)[0], model)
+    return scored(prepared(documents, model), model)
 
 
 def language_scores(documents: DataFrame) -> DataFrame:
     """A row for each document: its log10 probability by its unigrams and by the model, trained on those not held out."""
-    blocks, vocabulary = _prepared(documents)
-    return _scored(blocks, _trained(blocks, vocabulary))
+    given = prepared(documents)
+    return scored(given, trained(given))

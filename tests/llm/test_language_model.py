@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from clearwell.llm import language_model as L
 from tests.llm.cases import documents, prose, texts
@@ -45,29 +46,36 @@ def test_scores_against_plain_recursions(spark):
     got = sorted((tuple(r) for r in L.score(docs, model).collect()), key=str)
     counts = Counter(w for id_, text in data if not is_held(id_) for w in tokens(text))
     n, v = sum(counts.values()), len(counts)
-    import xxhash
-
-    def digest(word):
-        return tuple(np.frombuffer(xxhash.xxh3_128_digest(word.encode()), "<i8").tolist())
-
-    expected = {(r["h1"], r["h2"]): np.array(r[3:]) for r in model.words.collect()}
-    assert len(expected) == sum(c >= L.LEAST_COUNT for c in counts.values())
+    shares = {}
+    for row in model.vocabulary.join(model.words, "shard").collect():
+        keys, seen = np.frombuffer(row["keys"], "<u8"), L._unsqueezed(row["counts"], "<i8")
+        keys = keys[seen >= L.LEAST_COUNT].tolist()
+        own = L._shares(row["shares"])
+        assert len(own) == len(keys)
+        shares.update(zip(keys, own, strict=True))
+    assert len(shares) == sum(c >= L.LEAST_COUNT for c in counts.values())
+    totals = sum(counts[w] * shares[xxhash.xxh3_64_intdigest(w.encode())] for w in counts if counts[w] >= L.LEAST_COUNT)
     p = model.parameters
     assert (p.tokens, p.distinct) == (n, v)
-    assert p.totals.sum() == pytest.approx(n, rel=1e-4)
-    share = p.totals / n
+    assert p.totals == pytest.approx(totals + p.rare, rel=1e-9)
+    assert p.totals.sum() == pytest.approx(n, rel=1e-5)
+    size = p.totals / n
 
     def unigram(word):
         return (counts[word] + 0.5) / (n + 0.5 * (v + 1))
 
+    factor = p.rare / p.rare_tokens
+    rare = sum(c < L.LEAST_COUNT for c in counts.values())
+    whole = p.totals + 0.5 * size * (v - rare) + 0.5 * factor * (rare + 1)
+
     def emission(word):
         if counts[word] < L.LEAST_COUNT:
-            return unigram(word) * p.rare / (share * p.rare_tokens)
-        return (expected[digest(word)] + 0.5 * share) / (p.totals * (1 + 0.5 * (v + 1) / n))
+            return (counts[word] + 0.5) * factor / whole
+        return (counts[word] * shares[xxhash.xxh3_64_intdigest(word.encode())] + 0.5 * size) / whole
 
     # Each state is a distribution over the known words and one unknown.
     total = sum(emission(w) for w in counts) + emission("never seen")
-    assert total == pytest.approx(np.ones(L.STATES), abs=0.02)
+    assert total == pytest.approx(np.ones(L.STATES), rel=1e-9)
     want = []
     for id_, text in data:
         words = tokens(text)
@@ -84,7 +92,7 @@ def test_scores_against_plain_recursions(spark):
 def parameters(seed):
     rng = np.random.default_rng(seed)
     following = rng.dirichlet(np.ones(L.STATES), L.STATES)
-    return L.Parameters(100, 10, 0, np.ones(L.STATES), np.ones(L.STATES), rng.dirichlet(np.ones(L.STATES)), following)
+    return L.Parameters(100, 10, 0, 10, np.ones(L.STATES), np.ones(L.STATES), rng.dirichlet(np.ones(L.STATES)), following)
 
 
 def plain_expected(words, given, p):
@@ -107,7 +115,9 @@ def plain_expected(words, given, p):
 @pytest.mark.parametrize(("piece", "block"), [(4096, 10**6), (5, 10**6), (7, 20), (1, 9)])
 def test_expected_counts_and_pieces(monkeypatch, piece, block):
     monkeypatch.setattr(L, "PIECE", piece)
-    monkeypatch.setattr(L, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(L, "LONG", piece + 2)
+    monkeypatch.setattr(L, "_PIECES_AT_ONCE", 3)
+    monkeypatch.setattr(L, "AT_ONCE", block)
     rng = np.random.default_rng(piece)
     p = parameters(3)
     given = rng.uniform(0.01, 1, (12, L.STATES))
