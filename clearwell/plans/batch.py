@@ -9,8 +9,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clearwell.contracts import Contract, contract_for
+from clearwell.functions.names import column
 from clearwell.functions.values import DATE_PARTS
 from clearwell.operators.quality import (
     BLANK,
@@ -36,11 +38,13 @@ from clearwell.operators.shape import (
 )
 from clearwell.session import folder_bytes, pin, widened_shuffles
 from clearwell.sinks.catalog import register_table
+from clearwell.sinks.manifest import Extra, Publication, extras_of, label_of, settle_columns
 from clearwell.sinks.writers import (
     BATCH,
     SOURCE_MARK,
     batch_path,
-    drop_stale,
+    checked_id,
+    drop_folders,
     in_batch,
     write_batch,
     write_clean,
@@ -115,12 +119,16 @@ def run_batch(
 
     The rows are read, shuffled and written once. The metrics are an aggregate
     over three narrow columns of what was written, and are kept as a row of the
-    ``quality_runs`` table. Running a batch id again replaces its rows.
+    ``quality_runs`` table. Running a batch id again replaces its rows. Columns beyond
+    the contract are noted, so that readers of the table find them (``sinks.manifest``).
     """
     spark = pin(df.sparkSession)
     path = table_path(lake, contract.name)
+    checked_id(batch_id)
     with widened_shuffles(spark, input_bytes):
-        write_batch(mark_batch(df, contract, run_ts, strict), path, batch_id, input_bytes=input_bytes)
+        marked = mark_batch(df, contract, run_ts, strict)
+        settled = settle_columns(spark, lake, contract, batch_id, marked, (COPIES, CAST_FAILURES, REASON, *_FOLDERS))
+        write_batch(settled, path, batch_id, input_bytes=input_bytes)
     written = read_partitioned(spark, batch_path(path, batch_id), _MARKS, _FOLDERS)
     metrics = zone_metrics(written).first().asDict()
     run = spark.range(0, 1, 1, 1).select(
@@ -144,22 +152,57 @@ def contract_ddl(contract: Contract, extras: str = "") -> str:
     return ", ".join(part for part in (columns, extras) if part)
 
 
-def marked_rows(spark: SparkSession, lake: str, contract: Contract, extras: str = "") -> DataFrame:
-    """All batches of a table with marks and zones; ``extras`` is DDL of further columns."""
-    schema = f"{contract_ddl(contract, extras)}, {_MARKS}"
-    return read_partitioned(spark, table_path(lake, contract.name), schema, (BATCH, *_FOLDERS))
+def marked_rows(spark: SparkSession, lake: str, contract: Contract, extras: str | None = None) -> DataFrame:
+    """All batches of a table with marks and zones.
+
+    Columns beyond the contract are those that any batch has; a column that came in several types
+    is text. ``extras``, the DDL of such columns, names the ones to read instead, and their types.
+    """
+    folders = (BATCH, *_FOLDERS)
+    found, wanted = _extras(spark, lake, contract, extras)
+    fields = [*_fields(contract_ddl(contract)), *[field for extra in found for field in extra.stored()], *_fields(_MARKS)]
+    rows = spark.read.schema(StructType([*fields, *[StructField(name, StringType()) for name in folders]]))
+    values = [
+        extra.value()
+        if wanted is None or (not extra.drifted and extra.kind == wanted[extra.name].json())
+        else extra.value().try_cast(wanted[extra.name]).alias(extra.name)
+        for extra in found
+    ]
+    marks = [field.name for field in _fields(_MARKS)]
+    return rows.parquet(table_path(lake, contract.name)).select(
+        *map(column, contract.columns), *values, *marks, *folders
+    )
+
+
+def _fields(ddl: str) -> list[StructField]:
+    return StructType.fromDDL(ddl).fields if ddl else []
+
+
+def _extras(spark: SparkSession, lake: str, contract: Contract, ddl: str | None) -> tuple[list[Extra], dict | None]:
+    """Columns beyond the contract, all or those of a DDL, as they are stored; the types the DDL asks for."""
+    found = extras_of(spark, lake, contract.name)
+    if ddl is None:
+        return found, None
+    known = {extra.name: extra for extra in found}
+    asked = _fields(ddl)
+    return (
+        [known.get(field.name, Extra(field.name, field.dataType.json())) for field in asked],
+        {field.name: field.dataType for field in asked},
+    )
 
 
-def clean_rows(spark: SparkSession, lake: str, contract: Contract, extras: str = "") -> DataFrame:
+def clean_rows(spark: SparkSession, lake: str, contract: Contract, extras: str | None = None) -> DataFrame:
     """The good rows of a table, without marks."""
     rows = marked_rows(spark, lake, contract, extras)
-    return rows.filter(F.col(ZONE) == CLEAN).drop(COPIES, CAST_FAILURES, REASON, ZONE)
+    hidden = () if extras is not None else (SOURCE_FILE, CORRUPT)
+    return rows.filter(F.col(ZONE) == CLEAN).drop(COPIES, CAST_FAILURES, REASON, ZONE, *hidden)
 
 
-def quarantine_rows(spark: SparkSession, lake: str, contract: Contract, extras: str = "") -> DataFrame:
-    """The bad rows of a table with the rule each one breaks."""
+def quarantine_rows(spark: SparkSession, lake: str, contract: Contract, extras: str | None = None) -> DataFrame:
+    """The bad rows of a table with the rule each one breaks, and the text of those that did not parse."""
     rows = marked_rows(spark, lake, contract, extras)
-    return rows.filter(F.col(ZONE) == QUARANTINE).drop(COPIES, CAST_FAILURES, ZONE)
+    hidden = () if extras is not None else (SOURCE_FILE,)
+    return rows.filter(F.col(ZONE) == QUARANTINE).drop(COPIES, CAST_FAILURES, ZONE, *hidden)
 
 
 def publish_batch(
@@ -170,50 +213,70 @@ def publish_batch(
     data_path: str,
     quarantine_path: str,
     source: str,
-    extras: str = "",
+    extras: str | None = None,
 ) -> None:
     """Copy a written batch to separate clean and quarantine folders.
 
     For readers that expect ``year=/month=/day=`` at the top of the clean folder and
     ``source=`` at the top of the quarantine folder. The batch on disk is the common
     input of both writes, so the duplicates are not removed twice. Publishing a
-    batch again replaces its folders: those that it has no rows for any more go away.
-    """
-    good = clean_rows(spark, lake, contract, extras).filter(in_batch(batch_id))
-    bad = quarantine_rows(spark, lake, contract, extras).filter(in_batch(batch_id))
-    write_clean(good, data_path, "overwrite", batch_id)
-    write_quarantine(bad, quarantine_path, source, "overwrite", batch_id)
-    own = F.lit(batch_id).alias(BATCH)
-    drop_stale(spark, data_path, (*DATE_PARTS, BATCH), _or_batch(good.select(*DATE_PARTS, own), batch_id))
-    folders = ("source", *DATE_PARTS, BATCH)
-    tagged = bad.select(F.lit(source).alias("source"), *DATE_PARTS, own)
-    drop_stale(spark, quarantine_path, folders, _or_batch(tagged, batch_id))
-
-
-def _or_batch(kept: DataFrame, batch_id: str) -> DataFrame:
-    """The folders that stay and one that never is, so that a batch without rows is known too."""
-    nothing = [F.lit(batch_id if name == BATCH else "").alias(name) for name in kept.columns]
-    return kept.distinct().union(kept.sparkSession.range(1).select(*nothing))
-
+    batch again replaces its folders: those that it has no rows for any more go away. What
+    other tables, sources and batches published in the same folders stays.
 
-def register_lake_table(spark: SparkSession, lake: str, contract: Contract, database: str, extras: str = "") -> None:
+    Each of the two folders has a manifest. A publication is noted when its rows are there and
+    before old folders go: ``sinks.manifest.published_rows`` has the rows of the latest one also
+    where a run ended in between, and the next publication deletes what is left over.
+    """
+    for root, rows, tagged in (
+        (data_path, clean_rows(spark, lake, contract, extras), False),
+        (quarantine_path, quarantine_rows(spark, lake, contract, extras), True),
+    ):
+        _publish(spark, rows.filter(in_batch(batch_id)), Publication(root, contract.name, source, batch_id), tagged)
+
+
+def _publish(spark: SparkSession, rows: DataFrame, place: Publication, tagged: bool) -> None:
+    label = label_of(spark, place)
+    if tagged:
+        write_quarantine(rows, place.root, place.source, "overwrite", label)
+    else:
+        write_clean(rows, place.root, "overwrite", label)
+    days = [tuple(row) for row in rows.select(*DATE_PARTS).distinct().collect()]
+    earlier = place.notes(spark)
+    place.note(spark, max((note["version"] for note in earlier), default=0) + 1, label, days)
+    _clear(spark, place, earlier, days, tagged)
+
+
+def _clear(spark: SparkSession, place: Publication, earlier: list[dict], days: list[tuple], tagged: bool) -> None:
+    """Delete the folders of earlier publications of the same place that the last one has no rows for."""
+    gone = {(*(note[name] for name in DATE_PARTS), note["label"]) for note in earlier if not note["empty"]}
+    gone = sorted((row for row in gone if row[:-1] not in set(days)), key=str)
+    folders = (*DATE_PARTS, BATCH)
+    if tagged:
+        drop_folders(spark, place.root, ("source", *folders), [(place.source, *row) for row in gone])
+    else:
+        drop_folders(spark, place.root, folders, gone)
+
+
+def register_lake_table(
+    spark: SparkSession, lake: str, contract: Contract, database: str, extras: str | None = None
+) -> None:
     """Make a table of the lake available to SQL.
 
     ``<name>_batches`` holds all rows with their marks, the view ``<name>`` the
-    clean rows and the view ``<name>_quarantine`` the bad ones. Call it again to
-    pick up new batches.
+    clean rows and the view ``<name>_quarantine`` the bad ones, with the columns that any batch
+    has (or the contract and ``extras``). Call it again to pick up new batches.
     """
-    data = contract_ddl(contract, extras)
+    found, _ = _extras(spark, lake, contract, extras)
+    stored = [f"`{field.name}` {field.dataType.simpleString()}" for extra in found for field in extra.stored()]
     table = f"`{database}`.`{contract.name}_batches`"
-    register_table(spark, table, table_path(lake, contract.name), f"{data}, {_MARKS}", (BATCH, *_FOLDERS))
-    hidden = (COPIES, CAST_FAILURES, REASON, ZONE, BATCH)
-    columns = ", ".join(f"`{name}`" for name in spark.table(table).columns if name not in hidden)
-    for view, shown, zone in (
-        (contract.name, columns, CLEAN),
-        (f"{contract.name}_quarantine", f"{columns}, `{REASON}`", QUARANTINE),
-    ):
+    data = ", ".join(part for part in (contract_ddl(contract), *stored, _MARKS) if part)
+    register_table(spark, table, table_path(lake, contract.name), data, (BATCH, *_FOLDERS))
+    shown = [extra.sql() for extra in found if extras is not None or extra.name not in (SOURCE_FILE, CORRUPT)]
+    names = ", ".join([*[f"`{name}`" for name in contract.columns], *shown, *DATE_PARTS])
+    for view, more, zone in ((contract.name, "", CLEAN), (f"{contract.name}_quarantine", f", `{REASON}`", QUARANTINE)):
         spark.sql(
-            f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {shown} FROM {table} WHERE `{ZONE}` = '{zone}'"
+            f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {names}{more}"
+            f" FROM {table} WHERE `{ZONE}` = '{zone}'"
         )
 
 

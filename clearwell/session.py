@@ -149,6 +149,12 @@ def folder_bytes(spark: SparkSession, path: str, pattern: str | None = None) ->
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new, empty path that every executor can reach.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clearwell.functions.values import DATE_PARTS
 from clearwell.operators.quality import ZONE
-from clearwell.session import planned_bytes, write_sizes
+from clearwell.session import hadoop_path, planned_bytes, write_sizes
 
 BATCH = "_batch"
 # A batch of several sources has a folder for each: the id, this sign and the name of the source.
@@ -105,27 +105,16 @@ def batch_path(path: str, batch_id: str) -> str:
     return f"{path.rstrip('/')}/{BATCH}={checked_id(batch_id)}"
 
 
-def drop_stale(spark: SparkSession, path: str, partitions: Sequence[str], kept: DataFrame) -> int:
-    """Delete the folders of the batches in ``kept`` that ``kept`` does not name; how many there were.
-
-    ``kept`` has a row for each folder that stays, the batch last: at most a batch's dates, which is
-    what the driver lists and compares. The number of all folders does not matter.
-    """
-    rows = [tuple(row) for row in kept.select(*partitions).distinct().collect()]
-    batches = {row[-1] for row in rows}
-    wanted = {tuple("__HIVE_DEFAULT_PARTITION__" if value is None else value for value in row) for row in rows}
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    stale = 0
-    for batch_id in sorted(batches):
-        pattern = "/".join([*(f"{name}=*" for name in partitions[:-1]), f"{partitions[-1]}={batch_id}"])
-        for found in files.globStatus(hadoop.Path(root, pattern)) or []:
-            names = found.getPath().toString().split("/")[-len(partitions) :]
-            if tuple(name.split("=", 1)[1] for name in names) not in wanted:
-                files.delete(found.getPath(), True)
-                stale += 1
-    return stale
+def drop_folders(spark: SparkSession, path: str, partitions: Sequence[str], values: Sequence[Sequence[str | None]]) -> int:
+    """Delete the folders with these partition values, and no others; how many there were."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    files, root = hadoop_path(spark, path)
+    dropped = 0
+    for row in values:
+        names = ["__HIVE_DEFAULT_PARTITION__" if value is None else escaped(value) for value in row]
+        folder = "/".join(f"{name}={value}" for name, value in zip(partitions, names, strict=True))
+        dropped += files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, folder), True)
+    return dropped
 
 
 def write_batch(

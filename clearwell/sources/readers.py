@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StructField, StructType
 
 from clearwell.functions.values import DATE_PARTS
 
@@ -39,7 +40,8 @@ def text_schema(names: Sequence[str], keep_corrupt: bool = False) -> str:
     return ", ".join(f"`{name}` string" for name in names)
 
 
-def _options(reader, fmt: str):
+def reader_options(reader, fmt: str):
+    """What every read of a format is told."""
     if fmt == "csv":
         # A header that differs from the schema is refused, not read by position.
         return reader.option("header", True).option("enforceSchema", False)
@@ -76,7 +78,7 @@ def read_source(
         raise ValueError(f"mode must be 'infer' or 'text', not {mode!r}")
     if keep_corrupt and not columns:
         raise ValueError("keep_corrupt needs the column names")
-    reader: DataFrameReader = _options(spark.read, fmt).options(**options)
+    reader: DataFrameReader = reader_options(spark.read, fmt).options(**options)
     if fmt == "parquet":
         df = _load(reader, fmt, path)
     elif mode == "infer":
@@ -86,9 +88,31 @@ def read_source(
         df = _load(reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT), fmt, path)
     else:
         df = _load(reader.option("primitivesAsString", True), fmt, path)
+    if fmt in ("json", "jsonl") and df.columns == [CORRUPT]:
+        # Nothing parses, so there are no fields: the text is all there is.
+        text = spark.read.options(**options).option("wholetext", fmt == "json").text(path)
+        df = text.where(F.trim("value") != "").select(F.col("value").alias(CORRUPT))
     return df.repartition(spread) if spread else df
 
 
+def inferred_types(spark: SparkSession, paths: list[str], names: StructType, options: dict[str, str]) -> StructType:
+    """The columns of CSV files of one header in the types their values suggest, which reads the files."""
+    reader = reader_options(spark.read, "csv").options(**options).option("inferSchema", True)
+    guessed = reader.option("enforceSchema", True).csv(paths).schema
+    return StructType([StructField(n.name, g.dataType) for n, g in zip(names.fields, guessed.fields, strict=True)])
+
+
+def stream_files(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None, **options: str):
+    """The files below a path as an unbounded table of path, length and time of change; their content is not read."""
+    reader = spark.readStream.format("binaryFile").options(**options)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    files = reader.schema("path string, modificationTime timestamp, length bigint, content binary").load(path)
+    return files.select("path", "length", F.unix_millis("modificationTime").alias("modified"))
+
+
 def stream_source(
     spark: SparkSession,
     path: str,
@@ -104,7 +128,7 @@ def stream_source(
     """
     if fmt in ("json", "jsonl") and isinstance(schema, str) and CORRUPT not in schema:
         schema = f"{schema}, `{CORRUPT}` string"
-    reader: DataStreamReader = _options(spark.readStream, _known(fmt)).options(**options).schema(schema)
+    reader: DataStreamReader = reader_options(spark.readStream, _known(fmt)).options(**options).schema(schema)
     reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

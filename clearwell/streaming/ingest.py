@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from clearwell.contracts import Contract
+from clearwell.contracts import Contract, ContractError
 from clearwell.operators.routing import TRIGGERED
 from clearwell.operators.shape import SOURCE_FILE, with_source_file
 from clearwell.plans.batch import run_batch
-from clearwell.session import folder_bytes, pin
+from clearwell.session import pin
 from clearwell.sinks.writers import SOURCE_MARK, write_batch
-from clearwell.sources.readers import name_glob, read_source, stream_source
+from clearwell.sources.files import FileGroup, file_fault, group_files, kinds_of, read_group
+from clearwell.sources.readers import name_glob, read_source, stream_files, stream_source
+from clearwell.streaming.ledger import LandedFile, Ledger
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +50,10 @@ def for_each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFram
     return writer.foreachBatch(handle).start()
 
 
+# Options that choose files; all others go to the reader of their content.
+_FILE_OPTIONS = ("pathGlobFilter", "recursiveFileLookup", "maxFileAge", "latestFirst", "modifiedAfter", "modifiedBefore")
+
+
 def ingest_available(
     spark: SparkSession,
     path: str,
@@ -62,32 +68,65 @@ def ingest_available(
     max_files: int | None = None,
     max_bytes: int | None = None,
     batch_prefix: str = "s",
+    discover: bool = True,
     **options: str,
 ) -> None:
     """Run the batch job over all files that are new since the last call.
 
-    The checkpoint knows the files already taken. A micro-batch that is replayed
-    after a failure has the same files and id and replaces its own rows.
-    Duplicates are removed within a file, so the result does not depend on how
-    files are grouped into micro-batches; ``per_file=False`` widens that to the
-    micro-batch. JSON text that does not parse goes to quarantine as it came, in the
-    column ``_corrupt_record``. ``prepare`` maps the read rows to the raw columns of the table.
-    ``max_files`` or ``max_bytes`` cuts a backlog into several micro-batches; the
-    latter also bounds the shuffles, which else follow the size of the folder.
-    """
-    pin(spark)
-    waiting = folder_bytes(spark, path, options.get("pathGlobFilter"))
-    batch_bytes = min(waiting, max_bytes) if max_bytes else waiting
-    stream = stream_source(spark, path, fmt, schema, max_files, max_bytes, **options)
-    if per_file:
-        stream = with_source_file(stream)
-    if prepare:
-        stream = prepare(stream)
+    The checkpoint knows the files already offered, and the ledger of the lake those already taken: a
+    renewed checkpoint takes no file again that has the path, length and time of change of one that is in the
+    tables. A micro-batch that is replayed after a failure has the same files and id and replaces its own rows.
 
-    def write(df: DataFrame, name: str) -> None:
-        run_batch(df, contract, lake, f"{batch_prefix}-{name}", strict=strict, input_bytes=batch_bytes)
+    Files of one header are read together, and are a source of their own in the batch where headers differ.
+    A file that cannot be read is set apart in the ledger (``ledger.unreadable_files``) and holds up no other.
+    ``schema`` names the fields of JSON files, and others that are found are kept as well; ``discover=False`` saves
+    the look at them. JSON text that does not parse, and CSV lines with too many fields, go to quarantine as
+    they came, in the column ``_corrupt_record``. ``prepare`` maps the read rows to the raw columns of the table.
 
-    for_each_batch(stream, checkpoint, write).awaitTermination()
+    Duplicates are removed within a file, so the result does not depend on how files are grouped into
+    micro-batches; ``per_file=False`` widens that to the files of one header in a micro-batch. ``max_files`` or
+    ``max_bytes`` cuts a backlog into several micro-batches; shuffles are sized by the files of each.
+    """
+    pin(spark)
+    chosen = {name: value for name, value in options.items() if name in _FILE_OPTIONS}
+    reading = {name: value for name, value in options.items() if name not in _FILE_OPTIONS}
+    ledger = Ledger(lake, f"{contract.name}-{fmt}")
+    known = None if fmt in ("csv", "parquet") else kinds_of(schema)
+
+    def write(offered: DataFrame, name: str) -> None:
+        batch_id = f"{batch_prefix}-{name}"
+        files = [LandedFile(*row) for row in sorted(map(tuple, offered.collect()))]
+        session = offered.sparkSession
+        fresh = ledger.not_taken(session, files, batch_id)
+        if len(fresh) < len(files):
+            log.info("%s: %d files were taken before", batch_id, len(files) - len(fresh))
+        lengths = {file.path: file.length for file in fresh}
+        groups, faults = group_files(session, list(lengths), fmt, known, discover, **reading) if fresh else ([], {})
+
+        def run(group: FileGroup, group_id: str) -> None:
+            try:
+                rows = read_group(session, group)
+                rows = with_source_file(rows) if per_file else rows
+                size = sum(lengths[path] for path in group.paths)
+                run_batch(prepare(rows) if prepare else rows, contract, lake, group_id, strict=strict, input_bytes=size)
+            except Exception as error:
+                reason = file_fault(error)
+                if reason is None or (strict and isinstance(error, ContractError)):
+                    raise
+                if len(group.paths) == 1:
+                    faults[group.paths[0]] = reason
+                    return
+                half = len(group.paths) // 2
+                for part, paths in enumerate((group.paths[:half], group.paths[half:])):
+                    run(group.of(paths), f"{group_id}{'.' if SOURCE_MARK in group_id else SOURCE_MARK}{part}")
+
+        for group in groups:
+            run(group, batch_id if len(groups) == 1 else f"{batch_id}{SOURCE_MARK}{group.key}")
+        for file, reason in sorted(faults.items()):
+            log.warning("%s is set apart: %s", file, reason)
+        ledger.note(session, fresh, batch_id, faults)
+
+    for_each_batch(stream_files(spark, path, max_files, max_bytes, **chosen), checkpoint, write).awaitTermination()
 
 
 @dataclass(frozen=True)

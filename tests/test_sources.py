@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from clearwell.session import MB, folder_bytes, initial_partitions, shared_folder, widened_shuffles, write_piece_bytes
+from clearwell.session import MB, folder_bytes, initial_partitions, shared_folder, widen_shuffles, widened_shuffles, write_piece_bytes
 from clearwell.sources import readers
 
 ROWS = [{"id": n, "name": f"n{n}"} for n in range(3)]
@@ -91,9 +91,13 @@ def test_shuffles_grow_with_the_input(spark):
     with widened_shuffles(spark, 10 * 2**30):
         assert spark.conf.get(key) == "240"
     assert spark.conf.get(key, None) == before
+    # The size of a scan's splits changes on request only.
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     with widened_shuffles(spark, 10**14):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+        widen_shuffles(spark, 10**14, most=5000, scan_split_bytes=256 * 2**20)
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 * 2**20)
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(256 * 2**20)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
     with widened_shuffles(spark, 1):
         assert spark.conf.get(key, None) == before
 
