@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +52,12 @@ from clearwell.sinks.writers import (
     write_clean,
     write_quarantine,
 )
+from clearwell.sources.files import UnreadableFile, group_files, read_group
+from clearwell.sources.ledger import LandedFile, Ledger
 from clearwell.sources.readers import CORRUPT, read_partitioned, read_source
 
+log = logging.getLogger(__name__)
+
 _BLANK_ROW = "_blank_row"
 _MARKS = f"`{COPIES}` bigint, `{CAST_FAILURES}` int, `{REASON}` string"
 _FOLDERS = (ZONE, *DATE_PARTS)
@@ -313,15 +319,18 @@ def run_sources(
     """Run a batch for each source; the summary has one row per source.
 
     Each source has a folder of its own in the batch, so several may fill one table and
-    running one of them again replaces its rows only.
+    running one of them again replaces its rows only. CSV files of different headers are stacked by
+    tidied column name; one that cannot be read is set apart in the ledger of the lake.
     """
     keys = [(source.table, source.key) for source in sources]
     if len(set(keys)) < len(keys):
         raise ValueError("sources of one table need different names")
     for source in sources:
-        df = read_source(spark, source.path, source.fmt, mode=mode, **source.options)
-        if per_file:
-            df = with_source_file(df)
+        df = _csv_source(spark, source, lake, batch_id, mode, per_file) if source.fmt == "csv" else None
+        if df is None:
+            df = read_source(spark, source.path, source.fmt, mode=mode, **source.options)
+            if per_file:
+                df = with_source_file(df)
         if source.more is not None:
             df = union_by_name(normalize_names(df), normalize_names(source.more))
         run_batch(
@@ -333,3 +342,29 @@ def run_sources(
             input_bytes=folder_bytes(spark, source.path),
         )
     return quality_runs(spark, lake).filter(in_batch(batch_id))
+
+
+def _csv_source(
+    spark: SparkSession, source: Source, lake: str, batch_id: str, mode: str, per_file: bool
+) -> DataFrame | None:
+    """The rows of all readable files of a source; None if its folders hold columns, which the reader has to find."""
+    listed = spark.read.format("binaryFile").options(**source.options).load(source.path)
+    if len(listed.columns) > 4:
+        return None
+    rows = listed.select("path", "length", F.unix_millis("modificationTime")).collect()
+    files = {row[0]: LandedFile(*row) for row in rows}
+    groups, faults = group_files(spark, sorted(files), "csv", **source.options)
+    if faults:
+        for path, reason in sorted(faults.items()):
+            log.warning("%s is set apart: %s", path, reason)
+        ledger = Ledger(lake, f"{source.table}-{source.fmt}")
+        ledger.note(spark, [files[path] for path in faults], f"{batch_id}{SOURCE_MARK}{source.key}", faults)
+    if not groups:
+        raise UnreadableFile(f"{source.path} has no file that can be read")
+    parts = []
+    for group in groups:
+        part = read_group(spark, group, infer=mode == "infer")
+        parts.append(with_source_file(part) if per_file else part)
+    if len(parts) == 1:
+        return parts[0]
+    return reduce(union_by_name, map(normalize_names, parts))

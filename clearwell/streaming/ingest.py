@@ -18,10 +18,10 @@ from clearwell.operators.routing import TRIGGERED
 from clearwell.operators.shape import SOURCE_FILE, with_source_file
 from clearwell.plans.batch import run_batch
 from clearwell.session import pin
-from clearwell.sinks.writers import SOURCE_MARK, write_batch
+from clearwell.sinks.writers import SOURCE_MARK, checked_id, write_batch
 from clearwell.sources.files import FileGroup, file_fault, group_files, kinds_of, read_group
-from clearwell.sources.readers import name_glob, read_source, stream_files, stream_source
-from clearwell.streaming.ledger import LandedFile, Ledger
+from clearwell.sources.ledger import LandedFile, Ledger
+from clearwell.sources.readers import name_glob, stream_files, stream_source
 
 log = logging.getLogger(__name__)
 
@@ -95,7 +95,8 @@ def ingest_available(
 
     def write(offered: DataFrame, name: str) -> None:
         batch_id = f"{batch_prefix}-{name}"
-        files = [LandedFile(*row) for row in sorted(map(tuple, offered.collect()))]
+        # Spark lists the files beside one with a bracket in its name twice.
+        files = [LandedFile(*row) for row in sorted(set(map(tuple, offered.collect())))]
         session = offered.sparkSession
         fresh = ledger.not_taken(session, files, batch_id)
         if len(fresh) < len(files):
@@ -283,26 +284,85 @@ def land_raw(
     )
 
 
-def land_accepted(spark: SparkSession, verdicts: DataFrame, raw_path: str, run_id: str, root: str = "") -> None:
-    """Copy the rows of the accepted uploads, and of no others, to their places in the raw zone.
+LANDED = "_landed"
+_COPY_BYTES = 8 * 1024 * 1024
 
-    ``verdicts`` come from ``routing.route``; ``root`` stands before their keys. The place of a file is
-    its ``organized_key`` with Parquet in it: ``format=/year=/month=/day=/file=`` below the batch of the
-    run, a source for each reader, so a repeated run replaces its own rows. Values are text as
-    they came (Parquet keeps its types) and rows say which file they are from. The list
-    of paths is what the driver holds, as for any read.
+
+def land_accepted(spark: SparkSession, verdicts: DataFrame, raw_path: str, run_id: str, root: str = "") -> DataFrame:
+    """Copy the accepted uploads, and no others, to their places in the raw zone, byte by byte.
+
+    ``verdicts`` come from ``routing.route``; ``root`` stands before their keys. A file goes to its
+    ``organized_key`` below ``raw_path``, as it is: nothing is parsed, so its name and content do not matter.
+    Uploads that share a place all land: the one of the least key under the plain name, the others with
+    the checksum of their key in it. Executors copy a file in pieces and give it its name when it is whole, so a
+    repeated run or task puts the same file in the same place. The result has a row for each upload
+    (``original_key``, ``landed_path``, ``bytes``) and is kept below ``raw_path`` under the run's id.
+
+    Spark has no sink for files as they are: the copy is Python with Arrow's file systems, which know
+    local and mounted paths, S3, HDFS and GCS.
     """
-    accepted = verdicts.filter(F.col("status") == TRIGGERED).select("original_key", "organized_key", "reader")
-    paths: dict[str, list[str]] = {}
-    for row in accepted.select("reader", "original_key").distinct().collect():
-        paths.setdefault(row["reader"], []).append(f"{root}{row['original_key']}")
-    # raw/{format}/year=…/month=…/day=…/{file}
-    parts = F.split("organized_key", "/")
-    names = {"format": 1, "year": 2, "month": 3, "day": 4, "file": 5}
-    place = [F.element_at(F.split(F.get(parts, F.lit(at)), "="), -1).alias(name) for name, at in names.items()]
-    file_name = F.element_at(F.split(F.url_decode(F.col(SOURCE_FILE)), "/"), -1)
-    for reader, files in paths.items():
-        rows = with_source_file(read_source(spark, sorted(files), reader, mode="text"))
-        places = accepted.filter(F.col("reader") == reader).select(*place).distinct()
-        landed = rows.withColumn("file", file_name).join(places, "file")
-        write_batch(landed, raw_path, f"{run_id}{SOURCE_MARK}{reader}", tuple(names), max_records_per_file=LANDED_RECORDS)
+    accepted = verdicts.filter(F.col("status") == TRIGGERED).select("original_key", "organized_key").distinct()
+    first = accepted.groupBy("organized_key").agg(F.min("original_key").alias("first_key"))
+    mark = F.lpad(F.hex(F.crc32(F.col("original_key").cast("binary"))), 8, "0")
+    marked = F.regexp_replace(F.col("organized_key"), r"^(.*/\.*[^./]*)([^/]*)$", F.concat(F.lit("$1-"), mark, F.lit("$2")))
+    place = F.when(F.col("original_key") == F.col("first_key"), F.col("organized_key")).otherwise(marked)
+    target = F.concat(F.lit(f"{raw_path.rstrip('/')}/"), place)
+    copies = accepted.join(first, "organized_key").select(
+        "original_key", F.concat(F.lit(root), "original_key").alias("source"), target.alias("landed_path")
+    )
+    report = f"{raw_path.rstrip('/')}/{LANDED}/{checked_id(run_id)}"
+    schema = "original_key string, landed_path string, bytes bigint"
+    # Files are dealt out evenly, whatever their names.
+    dealt = copies.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt.mapInArrow(_copier(_COPY_BYTES), schema).write.mode("overwrite").parquet(report)
+    return spark.read.schema(schema).parquet(report)
+
+
+def _copier(piece: int):
+    """The copy as a function that executors get whole: they need not have this package."""
+
+    def store_of(path: str):
+        import re
+
+        from pyarrow import fs
+
+        found = re.fullmatch(r"(?s)([a-zA-Z][a-zA-Z0-9+.-]*):(?://([^/]*))?(/.*)", path)
+        scheme = found.group(1).lower() if found else "file"
+        if scheme == "file":
+            return fs.LocalFileSystem(), found.group(3) if found else path, True
+        kind = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+        store, base = fs.FileSystem.from_uri(f"{kind}://{found.group(2)}")
+        # Object stores show a file when it is closed.
+        return store, base.rstrip("/") + found.group(3), kind in ("hdfs", "viewfs")
+
+    def copy(source: str, target: str) -> int:
+        import uuid
+
+        store, path, _ = store_of(source)
+        goal, place, renames = store_of(target)
+        folder, name = place.rsplit("/", 1)
+        draft = f"{folder}/.{name}.{uuid.uuid4().hex}" if renames else place
+        if renames:
+            goal.create_dir(folder, recursive=True)
+        size = 0
+        with store.open_input_stream(path, compression=None) as data:
+            with goal.open_output_stream(draft, compression=None) as out:
+                while part := data.read(piece):
+                    out.write(part)
+                    size += len(part)
+        if renames:
+            goal.move(draft, place)
+        return size
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keys, sources, targets = (column.to_pylist() for column in batch.columns)
+            sizes = [copy(source, target) for source, target in zip(sources, targets, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(targets, pa.string()), pa.array(sizes, pa.int64())],
+                ["original_key", "landed_path", "bytes"],
+            )
+
+    return run

@@ -350,8 +350,10 @@ def routed_landing(t: Tables) -> DataFrame:
     verdicts = routing.route(listed, datetime(2024, 3, 5, tzinfo=UTC), "run-1")
     for _ in range(2):
         ingest.land_accepted(t.spark, verdicts, raw, "run-1")
-    schema = "`order_id` string, `event_id` bigint"
-    landed = readers.read_partitioned(t.spark, raw, schema, (BATCH, "format", "year", "month", "day", "file"))
-    key = F.coalesce("order_id", F.col("event_id").cast("string"))
-    counts = (F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"))
-    return landed.groupBy("format", "year", "month", "day").agg(*counts)
+    parts = []
+    for kind, ddl, key in (("csv", "order_id string, status string", "order_id"), ("parquet", "event_id bigint", "event_id")):
+        reader = t.spark.read.schema(f"{ddl}, year string, month string, day string").option("header", True)
+        rows = reader.format(kind).load(f"{raw}/raw/{kind}")
+        parts.append(rows.select(F.lit(kind).alias("format"), "year", "month", "day", F.col(key).cast("string").alias("key")))
+    counts = (F.count(F.lit(1)).alias("rows"), F.count_distinct("key").alias("keys"))
+    return parts[0].union(parts[1]).groupBy("format", "year", "month", "day").agg(*counts)
