@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from clearwell.session import hadoop_path
 from clearwell.sinks.manifest import published_rows
 from clearwell.sinks.writers import BATCH
 from clearwell.sources import ledger, readers
-from clearwell.streaming import ingest
+from clearwell.streaming import distinct, ingest
 from clearwell.workloads import shapes
 from clearwell.workloads.registry import Tables, query
 
@@ -290,3 +290,30 @@ def routed_landing_names(t: Tables) -> DataFrame:
     name = F.when(F.col("file").rlike("-[0-9A-F]{8}[.]csv$"), F.concat(name, F.lit("-"))).otherwise(name)
     joined = after.join(report, "file", "full").join(before, "original_key", "full")
     return joined.select(name.alias("name"), "lines", F.coalesce(F.col("sha") == F.col("was"), F.lit(False)).alias("same"))
+
+
+_MIDDLE = "TIMESTAMP '2024-01-15 12:00:00'"
+
+
+@query(f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN ts < {_MIDDLE} AND ts < latest - INTERVAL 1 HOUR THEN 'late'
+        ELSE 'in_time' END AS kind, 1 AS rows
+    FROM events, (SELECT max(ts) AS latest FROM events WHERE ts >= {_MIDDLE}) l
+    UNION ALL SELECT 'all', 'duplicate', 2 * count(*) FILTER (ts >= {_MIDDLE}) + count(*) FILTER (ts < {_MIDDLE}) FROM events
+""")
+def stream_late_rows(t: Tables) -> DataFrame:
+    """The later half of the events lands first, twice; then the earlier half, twice, with the later half once more."""
+    landing, out, checkpoint = t.scratch("landing"), t.scratch("events"), t.scratch("checkpoint")
+    events = t["events"].select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    later = F.col("ts") >= F.expr(_MIDDLE)
+    for parts in ([later, later], [~later, ~later, later]):
+        for part in parts:
+            events.where(part).write.mode("append").parquet(landing)
+        stream = readers.stream_source(t.spark, landing, "parquet", events.schema)
+        week = timedelta(days=7)
+        distinct.append_distinct(stream, out, checkpoint, ("event_id",), "ts", timedelta(hours=1), horizon=week)
+    rows = distinct.distinct_rows(t.spark, out, events.schema)
+    counts = distinct.arrivals(t.spark, out, events.schema).where(F.col("kind") == distinct.DUPLICATE)
+    one = F.lit(1).cast("bigint").alias("rows")
+    kept = rows.select(F.col("event_id").cast("string").alias("event_id"), F.col(distinct.KIND).alias("kind"), one)
+    return kept.union(counts.select(F.lit("all").alias("event_id"), "kind", "rows"))
