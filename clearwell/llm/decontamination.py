@@ -9,8 +9,9 @@ lower case and cut at white space and ASCII punctuation.
 2. The CGK walk reads a word, puts it out, and moves on or stays by a random bit of that word
    and step; after three times the words, edit distance has become Hamming distance. A
    repetition samples a few places of an embedding; window and item meet if they
-   agree in all of them. The number of repetitions is the least that reaches
-   ``recall`` on items with the most edits allowed, made at random in made-up surroundings.
+   agree in all of them. Items of like size, from a power of two to the next, have the least
+   number of repetitions that reaches ``recall`` on them with the most edits allowed, made at random
+   in made-up surroundings. Where ``MAX_REPETITIONS`` do not reach it, all windows are verified.
 3. What meets is verified by exact edit distance against all stretches around the window.
 
 Documents are read once and nothing of them is shuffled. The benchmark goes to every task
@@ -71,8 +72,9 @@ class Index:
     ids: list[int]
     items: list[np.ndarray]
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
-    repetitions: int = 0
-    keys: np.ndarray | None = None
+    # Repetitions by item, and the keys of all items in each; without any, every window is verified.
+    tries: np.ndarray | None = None
+    keys: list[np.ndarray] = field(default_factory=list)
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]], near: Nearness) -> Index:
@@ -139,39 +141,64 @@ class Index:
         rows[inside] = words[at[inside]]
         return rows, sizes
 
+    @property
+    def repetitions(self) -> int:
+        return len(self.keys)
+
     def _repeat(self) -> None:
-        """Fix the number of repetitions by trials, and the keys of the items."""
-        if not self.items:
-            return
-        rng = np.random.default_rng(self.near.seed)
-        own, sizes, trial, owner = [], [], [], []
-        for t in range(self.near.trials):
-            k = int(rng.integers(len(self.items)))
+        """Fix the number of repetitions by trials, size by size, and the keys of the items."""
+        self.tries = np.zeros(len(self.items), np.int64)
+        like: dict[int, list[int]] = {}
+        for k, words in enumerate(self.items):
+            like.setdefault(len(words).bit_length(), []).append(k)
+        for size, members in sorted(like.items()):
+            self.tries[members] = self._tries(members, np.random.default_rng([self.near.seed, size]), len(like))
+        if len(self.items):
+            everything = np.arange(len(self.items))
+            rows, sizes = self._item_rows(everything)
+            for repetition in range(int(self.tries.max())):
+                self.keys.append(self._walks(rows, sizes, range(repetition, repetition + 1))[:, 0])
+
+    def _item_rows(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(self.items[k]) for k in members], np.int64)
+        rows = np.zeros((len(members), int(sizes.max()) + 1), np.uint64)
+        for row, k in zip(rows, members, strict=True):
+            row[: len(self.items[k])] = self.items[k]
+        return rows, sizes
+
+    def _tries(self, members: list[int], rng: np.random.Generator, groups: int) -> int:
+        """Repetitions that items of like size need; 0 if ``MAX_REPETITIONS`` are too few."""
+        trials = max(400, self.near.trials // groups)
+        # Half of the misses allowed: the number is fitted to these trials, the next ones miss more.
+        target = (1 + self.near.recall) / 2
+        windows, trial, owner = [], [], []
+        for t in range(trials):
+            k = members[int(rng.integers(len(members)))]
             words, begin = self._edited(k, rng)
             for item, start in self.windows(words):
                 if item == k and abs(start - begin) <= self.near.edits(len(self.items[k])):
-                    row, size = self._rows(words, np.array([k]), np.array([start]))
-                    own.append(row[0])
-                    sizes.append(int(size[0]))
+                    windows.append(self._rows(words, np.array([k]), np.array([start]))[0][0])
                     trial.append(t)
                     owner.append(k)
-        width = max(len(w) for w in self.items) + 1
-        windows = np.zeros((len(own), width), np.uint64)
-        for r, row in enumerate(own):
-            windows[r, : len(row)] = row
-        items = np.zeros((len(self.items), width), np.uint64)
-        for k, words in enumerate(self.items):
-            items[k, : len(words)] = words
-        item_sizes = np.array([len(w) for w in self.items], np.int64)
-        met = np.zeros(self.near.trials, bool)
-        keys = []
+        width = max(len(self.items[k]) for k in members) + 1
+        rows = np.zeros((len(windows), width), np.uint64)
+        for row, window in zip(rows, windows, strict=True):
+            row[: len(window)] = window
+        trial, owner = np.array(trial, np.int64), np.array(owner, np.int64)
+        chosen, place = np.unique(owner, return_inverse=True)
+        if not len(chosen):
+            return 0
+        own, own_sizes = self._item_rows(chosen)
+        met = np.zeros(trials, bool)
         for repetition in range(MAX_REPETITIONS):
-            keys.append(self._walks(items, item_sizes, range(repetition, repetition + 1))[:, 0])
-            found = self._walks(windows, np.array(sizes, np.int64), range(repetition, repetition + 1))[:, 0]
-            met[np.array(trial, int)[found == keys[-1][np.array(owner, int)]]] = True
-            if met.mean() >= self.near.recall:
-                break
-        self.repetitions, self.keys = len(keys), np.stack(keys, axis=1)
+            once = range(repetition, repetition + 1)
+            # Trials that met need no further look.
+            open_ = np.flatnonzero(~met[trial])
+            found = self._walks(rows[open_], own_sizes[place[open_]], once)[:, 0]
+            met[trial[open_][found == self._walks(own, own_sizes, once)[place[open_], 0]]] = True
+            if met.mean() >= target:
+                return repetition + 1
+        return 0
 
     def _edited(self, k: int, rng: np.random.Generator) -> tuple[np.ndarray, int]:
         """Item ``k`` with as many edits as allowed between words of other items, and where it begins."""
@@ -195,11 +222,12 @@ class Index:
         for at in range(0, len(windows), _WALK_ROWS):
             part = windows[at : at + _WALK_ROWS]
             rows, sizes = self._rows(words, part[:, 0], part[:, 1])
-            met = np.zeros(len(part), bool)
-            for repetition in range(self.repetitions):
-                todo = np.flatnonzero(~met)
+            tries = self.tries[part[:, 0]]
+            met = tries == 0
+            for repetition in range(int(tries.max(initial=0))):
+                todo = np.flatnonzero(~met & (tries > repetition))
                 keys = self._walks(rows[todo], sizes[todo], range(repetition, repetition + 1))[:, 0]
-                met[todo] = keys == self.keys[part[todo, 0], repetition]
+                met[todo] = keys == self.keys[repetition][part[todo, 0]]
             for item, begin in part[met]:
                 words_, edits = self.items[item], self.near.edits(len(self.items[item]))
                 low = max(0, int(begin) - edits)

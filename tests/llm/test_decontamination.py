@@ -94,6 +94,21 @@ def test_repetitions_reach_the_recall():
     assert hits >= 0.96 * 200
 
 
+def test_each_size_of_items_reaches_the_recall():
+    """Nearly all items are short; long ones are found as often, with all the edits allowed."""
+    sizes = [4] * 990 + [40, 40, 80, 80, 150, 150, 300, 300, 600, 600]
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(n))) for k, n in enumerate(sizes)]
+    index = D.Index.of(items, NEAR)
+    assert all(0 <= n <= D.MAX_REPETITIONS for n in index.tries.tolist())
+    rng = np.random.default_rng(7)
+    for k in (0, 990, 992, 994, 996, 998):
+        hits = 0
+        for _ in range(40):
+            words, _ = index._edited(k, rng)
+            hits += any(item == k for item, *_ in index.matches(words))
+        assert hits >= 38, (sizes[k], hits, index.tries[k])
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=12), st.lists(st.integers(1, 4), max_size=25))
 def test_nearest_stretch(item, words):
