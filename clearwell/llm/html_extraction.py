@@ -23,29 +23,46 @@ from pyspark.sql import functions as F
 # Elements by their part in a page.
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr output picture "
-    "q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split()
+    "q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr "
+    "math maction merror mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+    "mtable mtd mtext mtr munder munderover semantics".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _DROPPED = frozenset(
     "applet aside audio button canvas datalist dialog fieldset footer form frame frameset head iframe input "
-    "legend link map math menu menuitem meta nav noembed noframes noscript object optgroup option progress script "
+    "legend link map menu menuitem meta nav noembed noframes noscript object optgroup option progress script "
     "search select style svg template textarea title video".split()
 )
-_RAW = "script|style|noscript|template|textarea|svg|iframe|title|select|noframes|xmp|math"
-# Words of class, id and role that mark what is not main text, and what may be.
+_RAW = "script|style|noscript|template|textarea|svg|iframe|title|select|noframes|xmp|annotation|annotation-xml"
+# Words of class, id and role that mark what the contract leaves out: menus, headers, footers, sidebars, notices,
+# adverts, forms and reader comments.
 _UNWANTED = frozenset(
-    "ad ads adv advert advertisement adverts advertising adsense banner breadcrumb breadcrumbs combx comment comments "
-    "commentlist community complementary consent contentinfo cookie cookies dialog discussion disqus foot footer "
-    "footnav gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices "
-    "notification overlay pager pagination popup privacy promo promoted promotion recommended related remark replies "
-    "reply respond rss search share sharing shoutbox sidebar signup skip skyscraper social sponsor sponsored "
-    "sponsors subscribe subscription supplemental tags toolbar topbar widget".split()
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
+    "complementary consent contentinfo cookie cookies dialog discussion footer foot form gdpr login masthead menu menus "
+    "modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup privacy promo "
+    "promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social "
+    "sponsor sponsored sponsors subscribe subscription supplemental tags toolbar topbar widget".split()
 )
 # An article is left out for these only; a name with one of the second says what a part lacks or has beside it.
 _UNWANTED_ARTICLE = frozenset(
     "ad ads advert advertisement comment comments promo promoted recommended related replies reply sponsored".split()
 )
 _BESIDE = frozenset("free has is no non not with without".split())
+# What such a part may be called besides: a name with any other word, such as social-science, is the name of a topic.
+_PARTS = frozenset(
+    "a area article articles bar block body bottom box btn button buttons center col column container content "
+    "entry fixed footer global group head header heading holder icon icons inner inline item items left link links list main "
+    "media meta mobile module nav page panel posts post primary right row secondary section side site slot small "
+    "sticky stories story text top unit view wide wrap wrapper form field input us me on our policy bottom-bar".split()
+)
+# As the id of a section these may be the anchor of a heading: what is inside decides.
+_ANCHORS = frozenset(
+    "discussion notice notices notification privacy recommended related replies respond search share sharing social "
+    "sponsors subscription supplemental tags consent comments navigation promotion".split()
+)
+_COMMENT = frozenset("author avatar comment comments commenter replies reply respond user username".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_MOST_LINKS = 0.25
 # Elements that hold the page: their class names drop nothing.
 _WHOLE = frozenset(["html", "body", "main"])
 _HEADERS = frozenset(["header", "head", "heading", "banner", "masthead", "topbar"])
@@ -65,8 +82,9 @@ _CLOSES_P = frozenset(
 )
 _SAME_CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th"}
 _LIMITS = frozenset("ul ol dl table body html article div section".split())
+_PROSE = 80
 _MIN_PARAGRAPH, _PER_POINT, _MOST_BY_LENGTH = 25, 100, 3
-_LINKS_ONLY, _SIBLING_SHARE, _SIBLING_POINTS = 0.5, 0.2, 10.0
+_LINKS_ONLY, _SIBLING_SHARE, _SIBLING_POINTS = 0.8, 0.2, 10.0
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -90,12 +108,13 @@ def _hidden(tag: str, attributes: dict[str, str]) -> bool:
 
 
 class _Node:
-    __slots__ = ("begin", "chars", "dropped", "end", "links", "link_chars", "parent", "points", "tag", "wanted")
+    __slots__ = ("begin", "chars", "comments", "doubtful", "dropped", "end", "links", "link_chars", "parent", "points", "tag", "wanted")
 
     def __init__(self, tag: str, parent: _Node | None, dropped: bool, wanted: bool) -> None:
         self.tag, self.parent, self.dropped, self.wanted = tag, parent, dropped, wanted
         self.points, self.chars, self.link_chars, self.links = 0.0, 0, 0, 0
         self.begin = self.end = 0
+        self.doubtful, self.comments = False, 0
 
     def above(self) -> Iterator[_Node]:
         node = self.parent
@@ -179,13 +198,22 @@ class _Tree:
     def _open(self, tag: str, attributes: str) -> None:
         parent = self.stack[-1]
         names: set[str] = set()
+        anchors: set[str] = set()
+        unwanted_names: set[str] = set()
         values = _attributes(attributes) if attributes else {}
         if values:
             for key in ("class", "id", "role"):
                 for name in values.get(key, "").lower().split():
-                    words = _WORDS.findall(name)
-                    if not _BESIDE.intersection(words):
-                        names.update(words)
+                    words = set(_WORDS.findall(name))
+                    if _BESIDE & words:
+                        continue
+                    names |= words
+                    # A part is called by words for parts alone.
+                    if words & (_UNWANTED | _HEADERS) and words <= _UNWANTED | _HEADERS | _PARTS:
+                        if key == "id" and words <= _ANCHORS:
+                            anchors |= words
+                        else:
+                            unwanted_names |= words
         inside = any(node.tag in ("article", "main") for node in self.stack)
         dropped = (
             parent.dropped
@@ -193,10 +221,14 @@ class _Tree:
             or (tag == "header" and not inside)
             or bool(values and _hidden(tag, values))
         )
-        if not dropped and names and tag not in _WHOLE:
+        if not dropped and unwanted_names and tag not in _WHOLE and tag not in _HEADINGS:
             unwanted = _UNWANTED_ARTICLE if tag == "article" else _UNWANTED - _HEADERS if inside else _UNWANTED | _HEADERS
-            dropped = bool(names & unwanted)
+            dropped = bool(unwanted_names & unwanted)
+        if names & _COMMENT:
+            for above in self.stack:
+                above.comments += 1
         node = _Node(tag, parent, dropped, tag in ("article", "main") or bool(names & _WANTED))
+        node.doubtful = bool(anchors) and tag not in _WHOLE and tag not in _HEADINGS
         node.begin = len(self.paragraphs)
         self.nodes.append(node)
         self.stack.append(node)
@@ -211,7 +243,25 @@ class _Tree:
             if self.stack[depth].tag in limits:
                 return
 
+    def _drop_doubtful(self) -> None:
+        """Parts that an id alone calls menus or comments go unless they are prose of the page."""
+        for node in self.nodes:
+            if node.doubtful and not node.dropped and node.chars:
+                prose = any(len(self.paragraphs[k][1]) >= _PROSE for k in range(node.begin, node.end))
+                if not prose or node.comments or node.link_chars >= _MOST_LINKS * node.chars:
+                    gone = [self.paragraphs[k] for k in range(node.begin, node.end)]
+                    for k in range(node.begin, node.end):
+                        self.paragraphs[k] = (node, "", 0)
+                    for one in node.above():
+                        one.chars -= sum(len(text) for _, text, _ in gone)
+                        one.link_chars -= sum(chars for *_, chars in gone)
+                    node.dropped = True
+        # A node comes after the one around it.
+        for node in self.nodes:
+            node.dropped |= node.parent is not None and node.parent.dropped
+
     def main(self) -> list[str]:
+        self._drop_doubtful()
         for node, text, link_chars in self.paragraphs:
             if len(text) < _MIN_PARAGRAPH:
                 continue
@@ -243,21 +293,28 @@ class _Tree:
                     title = node.tag in ("h1", "h2") and links < 0.25
                     if self._score(node) >= least or prose or title:
                         chosen.append(node)
-        listed = self._link_lists()
-        kept = sorted({k for node in chosen for k in range(node.begin, node.end)} - listed)
-        return [self.paragraphs[k][1] for k in kept]
+        held = {k for node in chosen for k in range(node.begin, node.end)}
+        kept = sorted(held - self._link_lists(held))
+        return [self.paragraphs[k][1] for k in kept if self.paragraphs[k][1]]
 
     def _score(self, node: _Node) -> float:
         return (node.points + 25 * node.wanted) * (1 - node.link_chars / node.chars)
 
-    def _link_lists(self) -> set[int]:
-        """Paragraphs of lists and tables that hold little but links."""
-        return {
-            k
+    def _link_lists(self, held: set[int]) -> set[int]:
+        """Paragraphs of lists and tables that hold little but links, unless text of the page goes on after them.
+
+        A list that says something beside each of its links, such as an author and a year, stays as well.
+        """
+        listed = [
+            node
             for node in self.nodes
             if node.tag in ("ul", "ol", "dl", "table") and node.links > 1 and node.link_chars > _LINKS_ONLY * node.chars
-            for k in range(node.begin, node.end)
-        }
+        ]
+        inside = {k for node in listed for k in range(node.begin, node.end)}
+        prose = [k for k in held - inside if len(self.paragraphs[k][1]) >= _PROSE]
+        last = max(prose, default=-1)
+        first = min(prose, default=len(self.paragraphs))
+        return {k for node in listed if node.begin < first or node.end > last for k in range(node.begin, node.end)}
 
 
 def main_text(page: str | None) -> str:

@@ -61,6 +61,36 @@ def test_only_hidden_elements_go(page, text):
     assert main_text(page) == text
 
 
+SOURCES = "".join(f"<li><a href=x{k}>A source of some length</a> Author {k}, in {1900 + k}" for k in range(3))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><p>{LONG}</p><section id='discussion'><h2>D</h2><p>{LONG}2</p></section></article>", f"{LONG}\nD\n{LONG}2"),
+        (f"<article><p>{LONG}</p><section id='related-work'><p>{LONG}2</p></section></article>", f"{LONG}\n{LONG}2"),
+        (f"<article><p>{LONG}</p><div class='search-algorithms'><p>{LONG}2</p></div></article>", f"{LONG}\n{LONG}2"),
+        (f"<article><p>{LONG}</p><h2 id='privacy'>Privacy</h2><p>{LONG}2</p></article>", f"{LONG}\nPrivacy\n{LONG}2"),
+        (f"<div class='social-science'><p>{LONG}</p></div>", LONG),
+        (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>", f"{LONG} x=1 holds."),
+        (
+            f"<article><p>{LONG}</p><ul>{SOURCES}</ul></article>",
+            "\n".join([LONG, *(f"A source of some length Author {k}, in {1900 + k}" for k in range(3))]),
+        ),
+        (
+            f"<article><p>{LONG}</p><ul><li><a href=x>one more</a><li><a href=y>two</a></ul><p>{LONG}2</p></article>",
+            f"{LONG}\none more\ntwo\n{LONG}2",
+        ),
+        (f"<article><p>{LONG}</p><div id='comments'><div class='comment'><p>{LONG}2</p></div></div></article>", LONG),
+        (f"<article><p>{LONG}</p><div id='related'><a href=x>{LONG}</a></div></article>", LONG),
+        (f"<div class='related-articles'><p>{LONG}</p></div><div><p>{LONG}2</p></div>", f"{LONG}2"),
+        (f"<div class='sidebar-right'><p>{LONG}</p></div><div class='main-content'><p>{LONG}2</p></div>", f"{LONG}2"),
+    ],
+)
+def test_names_alone_drop_no_prose(page, text):
+    assert main_text(page) == text
+
+
 def test_deep_long_and_broken_pages_end():
     assert main_text("<div>" * 3000 + LONG + "</div>" * 3000) == LONG
     assert len(main_text("<p>" + "word, " * 200_000)) == 6 * 200_000 - 1
