@@ -84,8 +84,10 @@ numbered AS (
 filled AS (SELECT * FROM numbered WHERE line <> ''),
 wordy AS (SELECT DISTINCT line, string_split_regex(line, ' +') AS w FROM filled),
 sets AS (
-    SELECT line, list_distinct(list_transform(
-        range(1, len(w) + 1), lambda i: array_to_string(w[i:i + 7], ' ')[1:16])) AS own FROM wordy),
+    SELECT line, list_distinct(list_concat(
+        list_transform(range(1, len(w) + 1), lambda i: array_to_string(w[i:i + 7], ' ')[1:16]),
+        flatten(list_transform(list_filter(w, lambda x: length(x) > 16),
+            lambda x: list_transform(range(1, length(x) - 14), lambda i: x[i:i + 15]))))) AS own FROM wordy),
 shingles AS (SELECT line, unnest(own) AS s FROM sets),
 shared AS (
     SELECT a.line AS a, b.line AS b, count(*) AS n

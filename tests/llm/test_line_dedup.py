@@ -1,9 +1,13 @@
 """Repeated lines against all pairs of whole sets."""
 
+import random
 import re
 from itertools import combinations
 
+import duckdb
+
 from clearwell.llm import line_dedup as L
+from clearwell.llm import sql
 from tests.llm.cases import documents, edited, prose, root, texts, union
 
 
@@ -22,6 +26,7 @@ def brute(rows):
     for line in sorted({line for *_, line in found}):
         words = re.split(" +", line)
         own[line] = {" ".join(words[k : k + 8])[:16] for k in range(len(words))}
+        own[line] |= {word[k : k + 16] for word in words for k in range(len(word) - 15)}
     parents = {line: line for line in own}
     for a, b in combinations(own, 2):
         if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b]):
@@ -114,6 +119,45 @@ def test_pieces_have_all_shingles(spark):
     assert got and all(sorted(s) == sorted(w[k : k + 16] for k in range(len(w) - 15)) for w, s in got.items())
 
 
+def test_few_shingles_are_found_as_often_as_many(spark):
+    # Pairs of 4 to 10 words of 16 characters, all but the last of the longer line shared: J = n / (n + 1).
+    def word(seed):
+        return "".join(random.Random(seed).choices("abcdefghijklmnopqrstuvwxyz", k=16))
+
+    sizes, pairs = range(4, 11), 800
+    rows = []
+    for n in sizes:
+        for k in range(pairs):
+            words = [word(f"{n} {k} {at}") for at in range(n + 1)]
+            id_ = 10_000 * n + 2 * k
+            rows += [(id_, " ".join(words[:-1])), (id_ + 1, " ".join(words))]
+    lines = L._lines(documents(spark, rows).select("doc_id", "text"))
+    met = {r.id for r in L.components(L._candidates(lines), "small-sets").collect()}
+    names = {r.doc_id: r.h1 for r in lines.collect()}
+    for n in sizes:
+        missed = sum(names[10_000 * n + 2 * k] not in met for k in range(pairs))
+        similarity = n / (n + 1)
+        claimed = pairs * (1 - similarity**2) ** L.BANDS
+        assert missed <= claimed + 4 * max(1, claimed) ** 0.5, (n, missed, claimed)
+
+
+def test_sql_has_the_sets_of_the_operator(spark):
+    """Links, long words and scripts without blanks, where the words alone would link other lines."""
+    start = "これは長い文の始まりでどれも同じです"
+    texts_ = ["https://www.example.org/a/1", "https://www.example.org/b/other", start + "一" * 30, start + "二三" * 15]
+    long = " ".join("".join(random.Random(k).choices("abcdef", k=40)) for k in range(12))
+    texts_ += [long, "x " + long, long[:-1], prose(5, 30), prose(5, 30) + " end", "id\t" + "y" * 40 + "\n" + prose(5, 30)]
+    rows = list(enumerate(texts_))
+    docs = documents(spark, rows).select("doc_id", "text")
+    got = L.repeated_lines(docs).collect()
+    duck = duckdb.connect()
+    duck.register("documents", docs.toPandas())
+    want = duck.sql(sql.LINES).fetchall()
+    shown = sorted((r.doc_id, r.n_lines, len(r.removed), ",".join(map(str, r.removed))) for r in got)
+    assert shown == sorted(want) and sum(row[2] for row in want) == 3
+    assert {(row[0], int(k)) for row in want if row[3] for k in row[3].split(",")} == brute(rows)
+
+
 def test_texts_of_one_id_lose_their_own_lines_only(spark):
     a, b, c, d = (prose(k, 20) for k in range(700, 704))
     rows = [
