@@ -11,13 +11,10 @@ import os
 import statistics
 import time
 from collections.abc import Callable
-from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clearwell.contracts import ORDERS
-from clearwell.operators import quality, shape
 from clearwell.plans.batch import run_batch
 from clearwell.session import build_session
 from clearwell.workloads import REGISTRY, shapes
@@ -71,24 +68,6 @@ def single_pass(t: Tables) -> None:
     run_batch(shapes.messy_orders(t), ORDERS, t.scratch("bench"), "b1")
 
 
-def eight_actions(t: Tables) -> None:
-    """The same batch the plain way: every count and write starts from the source."""
-    raw = shapes.messy_orders(t)
-    raw.count()
-    tidy = shape.drop_all_null_rows(shape.normalize_names(raw).dropDuplicates())
-    dated = shape.add_date_partitions(shape.apply_contract(tidy, ORDERS), run_ts=datetime.now(UTC))
-    clean, bad = quality.split_quarantine(dated, ORDERS.not_null, ORDERS.positive)
-    raw.count()
-    clean.count()
-    bad.count()
-    folder = t.scratch("bench")
-    clean.write.partitionBy("year", "month", "day").parquet(f"{folder}/data")
-    if bad.count():
-        tagged = bad.withColumn("source", F.lit("orders"))
-        tagged.write.partitionBy("source", "year", "month", "day").parquet(f"{folder}/quarantine")
-        bad.count()
-
-
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
@@ -106,13 +85,11 @@ def main() -> None:
     tables = Tables(spark, folder)
     seconds = {name: _median(lambda n=name: _consume(REGISTRY[n].run(Tables(spark, folder))), runs) for name in HEADLINE}
     seconds["batch_single_pass"] = _median(lambda: single_pass(tables), runs)
-    contrast = {"batch_eight_actions": _median(lambda: eight_actions(tables), runs)}
     result = {
         "metric": "headline queries, sum of medians",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "contrast": contrast,
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
         "cpus": cpus,
     }
