@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import zlib
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 
@@ -39,18 +39,32 @@ from clearwell.operators.shape import (
     with_source_file,
 )
 from clearwell.session import folder_bytes, pin, widened_shuffles
-from clearwell.sinks.catalog import register_table
-from clearwell.sinks.manifest import Extra, Publication, extras_of, label_of, settle_columns
+from clearwell.sinks.catalog import add_partitions, register_table
+from clearwell.sinks.compaction import (
+    RUN,
+    State,
+    bytes_below,
+    clear,
+    live_batches,
+    release,
+    run_path,
+    runs_path,
+    save_state,
+    state_of,
+)
+from clearwell.sinks.manifest import Extra, Publication, extras_of, label_of, note_extras, settle_columns
 from clearwell.sinks.writers import (
     BATCH,
     SOURCE_MARK,
     batch_path,
     checked_id,
+    clustered,
     drop_folders,
     in_batch,
     write_batch,
     write_clean,
     write_quarantine,
+    write_sizes,
 )
 from clearwell.sources.files import UnreadableFile, group_files, read_group
 from clearwell.sources.ledger import LandedFile, Ledger
@@ -134,6 +148,7 @@ def run_batch(
     with widened_shuffles(spark, input_bytes):
         marked = mark_batch(df, contract, run_ts, strict)
         settled = settle_columns(spark, lake, contract, batch_id, marked, (COPIES, CAST_FAILURES, REASON, *_FOLDERS))
+        release(spark, lake, contract.name, batch_id)
         write_batch(settled, path, batch_id, input_bytes=input_bytes)
     written = read_partitioned(spark, batch_path(path, batch_id), _MARKS, _FOLDERS)
     metrics = zone_metrics(written).first().asDict()
@@ -164,10 +179,8 @@ def marked_rows(spark: SparkSession, lake: str, contract: Contract, extras: str
     Columns beyond the contract are those that any batch has; a column that came in several types
     is text. ``extras``, the DDL of such columns, names the ones to read instead, and their types.
     """
-    folders = (BATCH, *_FOLDERS)
     found, wanted = _extras(spark, lake, contract, extras)
-    fields = [*_fields(contract_ddl(contract)), *[field for extra in found for field in extra.stored()], *_fields(_MARKS)]
-    rows = spark.read.schema(StructType([*fields, *[StructField(name, StringType()) for name in folders]]))
+    rows = _stored_rows(spark, lake, contract, found, state_of(spark, lake, contract.name))
     values = [
         extra.value()
         if wanted is None or (not extra.drifted and extra.kind == wanted[extra.name].json())
@@ -175,9 +188,82 @@ def marked_rows(spark: SparkSession, lake: str, contract: Contract, extras: str
         for extra in found
     ]
     marks = [field.name for field in _fields(_MARKS)]
-    return rows.parquet(table_path(lake, contract.name)).select(
-        *map(column, contract.columns), *values, *marks, *folders
+    return rows.select(*map(column, contract.columns), *values, *marks, BATCH, *_FOLDERS)
+
+
+def _stored_rows(
+    spark: SparkSession,
+    lake: str,
+    contract: Contract,
+    found: Sequence[Extra],
+    state: State,
+    batches: Sequence[str] | None = None,
+) -> DataFrame:
+    """The rows of batch folders, all or some of them, and of compacted runs, with the columns as they are stored."""
+    data = [*_fields(contract_ddl(contract)), *[field for extra in found for field in extra.stored()], *_fields(_MARKS)]
+    batch, run = StructField(BATCH, StringType()), StructField(RUN, StringType())
+    folders = [StructField(name, StringType()) for name in _FOLDERS]
+    names = [column(field.name) for field in (*data, batch, *folders)]
+    path = table_path(lake, contract.name)
+    reader = spark.read.schema(StructType([*data, batch, *folders])).option("basePath", path)
+    paths = [path] if batches is None else [batch_path(path, id_) for id_ in batches]
+    parts = [reader.parquet(*paths).where(state.in_folders())] if paths else []
+    if state.runs:
+        reader = spark.read.schema(StructType([*data, batch, run, *folders]))
+        runs = reader.option("basePath", runs_path(lake, contract.name))
+        runs = runs.parquet(*[run_path(lake, contract.name, number) for number in sorted(state.runs)])
+        parts.append(runs.where(state.in_runs()))
+    return reduce(DataFrame.union, [part.select(*names) for part in parts])
+
+
+def compact(spark: SparkSession, lake: str, contract: Contract) -> int:
+    """Bring the rows of all batch folders together in one run of few files a day; how many folders and runs it took.
+
+    Runs no larger than what is gathered are merged with it. So each run is larger than all later
+    ones together: a table has at most a logarithm of its size in runs, a day about as many files for
+    each 128 MB, and a row is written again at most so many times. Rows, columns, zones and batch ids
+    stay, and a batch can still be written again. The folders taken are deleted by the next call. A
+    call that ends early changes nothing. Like batches, compactions of one table run one after another.
+    """
+    pin(spark)
+    path = table_path(lake, contract.name)
+    state = clear(spark, lake, contract.name, path)
+    live = live_batches(spark, path)
+    if not live:
+        return 0
+    size, merged = bytes_below(spark, [batch_path(path, id_) for id_ in live]), []
+    for run in sorted(state.runs, key=int, reverse=True):
+        if state.runs[run] > size:
+            break
+        merged.append(run)
+        size += state.runs[run]
+    if len(live) + len(merged) < 2:
+        return 0
+    found = extras_of(spark, lake, contract.name)
+    # From now on no batch, written again, can bring such a column in another type.
+    note_extras(spark, lake, contract, found)
+    taken = replace(state, runs={run: state.runs[run] for run in merged})
+    number = str(max(map(int, [*state.runs, *state.batches.values(), "0"])) + 1)
+    target = run_path(lake, contract.name, number)
+    with widened_shuffles(spark, size), write_sizes(spark):
+        rows = clustered(_stored_rows(spark, lake, contract, found, taken, live), *_FOLDERS)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*_FOLDERS).parquet(target)
+    kept = {run: held for run, held in state.runs.items() if run not in merged}
+    moved = [id_ for id_, run in state.batches.items() if run in merged] + live
+    save_state(
+        spark,
+        lake,
+        contract.name,
+        State(
+            state.version,
+            kept | {number: bytes_below(spark, [target])},
+            state.batches | dict.fromkeys(moved, number),
+            frozenset((id_, run) for id_, run in state.replaced if run in kept),
+            frozenset(live),
+            frozenset(merged),
+        ),
     )
+    return len(live) + len(merged)
 
 
 def _fields(ddl: str) -> list[StructField]:
@@ -264,28 +350,61 @@ def _clear(spark: SparkSession, place: Publication, earlier: list[dict], days: l
 
 
 def register_lake_table(
-    spark: SparkSession, lake: str, contract: Contract, database: str, extras: str | None = None
+    spark: SparkSession,
+    lake: str,
+    contract: Contract,
+    database: str,
+    extras: str | None = None,
+    batch_id: str | None = None,
 ) -> None:
     """Make a table of the lake available to SQL.
 
-    ``<name>_batches`` holds all rows with their marks, the view ``<name>`` the
-    clean rows and the view ``<name>_quarantine`` the bad ones, with the columns that any batch
-    has (or the contract and ``extras``). Call it again to pick up new batches.
+    ``<name>_batches`` has the rows of batch folders with their marks, ``<name>_runs`` those of
+    compacted runs, the view ``<name>`` the clean rows of both and the view ``<name>_quarantine`` the
+    bad ones, with the columns that any batch has (or the contract and ``extras``). Call it again to pick up
+    new batches and after a compaction: with ``batch_id`` only the folders of that batch, and of runs not
+    yet defined, are listed, and not those of the whole table.
     """
     found, _ = _extras(spark, lake, contract, extras)
     stored = [f"`{field.name}` {field.dataType.simpleString()}" for extra in found for field in extra.stored()]
-    table = f"`{database}`.`{contract.name}_batches`"
     data = ", ".join(part for part in (contract_ddl(contract), *stored, _MARKS) if part)
-    register_table(spark, table, table_path(lake, contract.name), data, (BATCH, *_FOLDERS))
+    state = state_of(spark, lake, contract.name)
+    path, parts = table_path(lake, contract.name), (BATCH, *_FOLDERS)
+    table = f"`{database}`.`{contract.name}_batches`"
+    register_table(spark, table, path, data, parts, recover=batch_id is None)
+    if batch_id is not None:
+        for own in live_batches(spark, path):
+            if own.split(SOURCE_MARK)[0] == batch_id and own not in state.taken:
+                add_partitions(spark, table, parts, _places(spark, batch_path(path, own), own))
+        spark.catalog.refreshTable(table)
+    places = f"SELECT * FROM {table} WHERE {state.folders_sql()}"
+    if state.runs:
+        runs, parts = f"`{database}`.`{contract.name}_runs`", (RUN, *_FOLDERS)
+        register_table(spark, runs, runs_path(lake, contract.name), f"{data}, `{BATCH}` string", parts, recover=False)
+        for run in state.runs:
+            if spark.sql(f"SHOW PARTITIONS {runs} PARTITION (`{RUN}` = '{run}')").isEmpty():
+                add_partitions(spark, runs, parts, _places(spark, run_path(lake, contract.name, run), run))
+        same = ", ".join(f"`{field.name}`" for field in (*_fields(data), *_fields(f"`{BATCH}` string"))) + ", "
+        same += ", ".join(f"`{name}`" for name in _FOLDERS)
+        places = (
+            f"SELECT {same} FROM {table} WHERE {state.folders_sql()}"
+            f" UNION ALL SELECT {same} FROM {runs} WHERE {state.runs_sql()}"
+        )
     shown = [extra.sql() for extra in found if extras is not None or extra.name not in (SOURCE_FILE, CORRUPT)]
     names = ", ".join([*[f"`{name}`" for name in contract.columns], *shown, *DATE_PARTS])
     for view, more, zone in ((contract.name, "", CLEAN), (f"{contract.name}_quarantine", f", `{REASON}`", QUARANTINE)):
         spark.sql(
             f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {names}{more}"
-            f" FROM {table} WHERE `{ZONE}` = '{zone}'"
+            f" FROM ({places}) WHERE `{ZONE}` = '{zone}'"
         )
 
 
+def _places(spark: SparkSession, path: str, first: str) -> list[tuple[str | None, ...]]:
+    """The partitions below one folder, as many as it has zones and days; no column of the files is read."""
+    rows = read_partitioned(spark, path, _MARKS, _FOLDERS).select(*_FOLDERS).distinct().collect()
+    return [(first, *row) for row in rows]
+
+
 @dataclass(frozen=True)
 class Source:
     """Landed files of one table.

@@ -31,8 +31,9 @@ def register_table(
     path: str,
     schema: str,
     partitions: Sequence[str] = DATE_PARTS,
+    recover: bool = True,
 ) -> None:
-    """Define a table over a partitioned Parquet folder and pick up its folders.
+    """Define a table over a partitioned Parquet folder and, with ``recover``, pick up all of its folders.
 
     ``schema`` lists the data columns; partition columns are strings. A table that
     exists gets the columns of ``schema`` it lacks.
@@ -44,7 +45,24 @@ def register_table(
         f" PARTITIONED BY ({by}) LOCATION '{_escaped(path)}'"
     )
     add_columns(spark, table, [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(schema)])
-    spark.catalog.recoverPartitions(table)
+    if recover:
+        spark.catalog.recoverPartitions(table)
+
+
+def add_partitions(
+    spark: SparkSession, table: str, partitions: Sequence[str], values: Sequence[Sequence[str | None]], at_once: int = 200
+) -> None:
+    """Define these partitions where they are not yet; no folder is listed."""
+    specs = [
+        ", ".join(
+            f"`{name}`='{_escaped('__HIVE_DEFAULT_PARTITION__' if value is None else value)}'"
+            for name, value in zip(partitions, row, strict=True)
+        )
+        for row in values
+    ]
+    for at in range(0, len(specs), at_once):
+        added = " ".join(f"PARTITION ({spec})" for spec in specs[at : at + at_once])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
 
 
 def refresh_table(spark: SparkSession, table: str, seen: DataFrame | None = None) -> None:

@@ -126,6 +126,18 @@ def extras_of(spark: SparkSession, lake: str, table: str) -> list[Extra]:
     return [Extra(name, kind, name in drifted) for name, kind in kinds.items()]
 
 
+def note_extras(spark: SparkSession, lake: str, contract: Contract, extras: Sequence[Extra]) -> None:
+    """Note columns for the table as a whole; unlike the notes of a batch, these are never taken back."""
+    notes = []
+    for position, extra in enumerate(extras):
+        common = {"name": extra.name, "position": position}
+        notes.append(common | {"kind": extra.kind, "text": False})
+        if extra.drifted:
+            notes.append(common | {"kind": extra.kind, "text": True})
+    # No batch id has such a name.
+    write_json(spark, f"{_columns_folder(lake, contract.name)}/%40table.json", notes)
+
+
 def settle_columns(
     spark: SparkSession, lake: str, contract: Contract, batch_id: str, marked: DataFrame, marks: Sequence[str]
 ) -> DataFrame:
