@@ -56,16 +56,29 @@ def exact_sum(amount: Column, digits: int | None = None) -> Column:
     that are too large for whole units, and those that are not finite, are added up as
     doubles beside them. The result is a double, NULL without amounts.
     """
-    value = amount.cast("double")
     if digits is None:
-        return F.sum(value)
+        return F.sum(amount.cast("double"))
+    return merged_sum(*sum_parts(amount, digits), digits)
+
+
+def sum_parts(amount: Column, digits: int) -> tuple[Column, Column, Column]:
+    """Three columns of each amount whose plain sums can be stored, added up again and merged to the exact sum.
+
+    The high and the low bits of whole units, and amounts that are none.
+    """
+    value = amount.cast("double")
     scale = float(10**digits)
     # NaN is above every number.
     fits = F.abs(value) < 2.0**62 / scale
     units = F.rint(F.when(fits, value) * scale).cast("bigint")
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast("decimal(20,0)")
-    whole = high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
+    return F.shiftright(units, _LOW_BITS), units.bitwiseAND(F.lit(2**_LOW_BITS - 1)), F.when(~fits, value)
+
+
+def merged_sum(high: Column, low: Column, other: Column, digits: int) -> Column:
+    """The sum of amounts from their ``sum_parts``, or from sums of these."""
+    highs = F.sum(high).cast("decimal(20,0)")
+    lows = F.sum(low).cast("decimal(20,0)")
+    whole = highs * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + lows
     exact = (whole * F.lit(Decimal(1).scaleb(-digits))).cast("double")
-    others = F.sum(F.when(~fits, value))
+    others = F.sum(other)
     return F.coalesce(exact + others, exact, others)

@@ -173,14 +173,30 @@ def contract_ddl(contract: Contract, extras: str = "") -> str:
     return ", ".join(part for part in (columns, extras) if part)
 
 
-def marked_rows(spark: SparkSession, lake: str, contract: Contract, extras: str | None = None) -> DataFrame:
-    """All batches of a table with marks and zones.
+def marked_rows(
+    spark: SparkSession,
+    lake: str,
+    contract: Contract,
+    extras: str | None = None,
+    batches: Sequence[str] | None = None,
+) -> DataFrame:
+    """All batches of a table with marks and zones, or ``batches`` alone, whose folders are then all that is listed.
 
     Columns beyond the contract are those that any batch has; a column that came in several types
     is text. ``extras``, the DDL of such columns, names the ones to read instead, and their types.
     """
     found, wanted = _extras(spark, lake, contract, extras)
-    rows = _stored_rows(spark, lake, contract, found, state_of(spark, lake, contract.name))
+    state = state_of(spark, lake, contract.name)
+    if batches is None:
+        rows = _stored_rows(spark, lake, contract, found, state)
+    else:
+        inside = [id_ for id_ in batches if id_ in state.batches]
+        runs = {run: state.runs[run] for run in {state.batches[id_] for id_ in inside}}
+        outside = [id_ for id_ in batches if id_ not in state.batches]
+        if not batches:
+            raise ValueError("name a batch")
+        rows = _stored_rows(spark, lake, contract, found, replace(state, runs=runs), outside)
+        rows = rows.where(F.col(BATCH).isin(list(batches)))
     values = [
         extra.value()
         if wanted is None or (not extra.drifted and extra.kind == wanted[extra.name].json())
