@@ -448,6 +448,24 @@ def _cut(with_bytes: bool):
     return run
 
 
+def _uncut(with_bytes: bool):
+    cut = _cut(with_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.Table.from_batches([batch])
+            yield from cut(texts, texts.slice(0, 0)).to_batches()
+
+    return run
+
+
+def _prime(least: int) -> int:
+    """The first odd prime from ``least`` on: ids that rise in steps fill all of so many groups alike."""
+    while least < 3 or any(least % k == 0 for k in range(2, math.isqrt(least) + 1)):
+        least += 1
+    return least
+
+
 def without_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans`` and ``kept_sha256`` (or the bytes, ``kept``) of every row.
 
@@ -468,7 +486,7 @@ def without_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
     buckets = max(2 * cores, math.ceil(total / BUCKET_BYTES))
-    parts = max(2 * cores, math.ceil(total / GROUP_BYTES))
+    parts = _prime(max(2 * cores, math.ceil(total / GROUP_BYTES)))
     # Batches of rising ids, about as many documents each.
     ids = docs.where("doc_id IS NOT NULL")
     quantiles = ids.approxQuantile("doc_id", [k / BATCHES for k in range(1, BATCHES)], 0.01) if total else []
@@ -479,11 +497,13 @@ def without_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     found = found.repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
     survivors = found.mapInArrow(_survivor_rows(parts), SURVIVOR_SCHEMA)
     # The same shuffle of the texts serves both returns to the documents.
-    grouped = rows.withColumn("part", F.coalesce(F.expr(f"int(pmod(doc_id, {parts}))"), F.lit(0)))
+    grouped = rows.where("doc_id IS NOT NULL").withColumn("part", F.expr(f"int(pmod(doc_id, {parts}))"))
     suffixes = grouped.groupBy("part").cogroup(survivors.groupBy("part"))
     suffixes = suffixes.applyInArrow(_suffix_rows(buckets, bounds), SUFFIX_SCHEMA)
     suffixes = suffixes.repartition(buckets, "bucket").sortWithinPartitions("bucket", "batch")
     repeats = suffixes.mapInArrow(_repeat_rows(parts), REPEAT_SCHEMA)
     last = "kept binary" if with_bytes else "kept_sha256 string"
-    result = grouped.groupBy("part").cogroup(repeats.groupBy("part"))
-    return result.applyInArrow(_cut(with_bytes), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+    schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}"
+    result = grouped.groupBy("part").cogroup(repeats.groupBy("part")).applyInArrow(_cut(with_bytes), schema)
+    # Rows without an id need no group: all of them in one would be more than a task can hold.
+    return result.union(rows.where("doc_id IS NULL").mapInArrow(_uncut(with_bytes), schema))

@@ -34,6 +34,21 @@ def test_edge_rows(spark):
     assert got == brute(rows)
 
 
+def test_ids_in_steps_and_many_rows_without_id(spark):
+    passage = prose(5, 12)
+    rows = [(16 * k, f"{prose(1000 + k, 20)} {passage if k % 3 == 0 else ''} {prose(2000 + k, 20)}") for k in range(90)]
+    rows += [(None, passage)] * 3000
+    got = sorted((tuple(r) for r in S.without_repeats(documents(spark, rows)).collect()), key=str)
+    assert got == brute(rows)
+    assert sum(row[2] > 0 for row in got) >= 29
+
+
+def test_groups_are_primes_that_steps_do_not_miss():
+    for least in (1, 8, 16, 24, 1000):
+        parts = S._prime(least)
+        assert parts >= least and {16 * k % parts for k in range(parts)} == set(range(parts))
+
+
 def test_kept_bytes_and_empty_table(spark):
     rows = [(1, prose(1, 30)), (2, "start " + prose(1, 30) + " endé")]
     kept = {r.doc_id: bytes(r.kept).decode() for r in S.without_repeats(documents(spark, rows), with_bytes=True).collect()}
