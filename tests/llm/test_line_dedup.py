@@ -182,3 +182,23 @@ def test_empty_table(spark):
 def test_main_path_has_no_python(spark):
     plan = L.without_repeated_lines(documents(spark, sample()))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_one_scan_finds_the_shingles_of_words_one_by_one(spark):
+    draw = random.Random(8)
+    lines = [" " * draw.randint(0, 2) + draw.choice((" ", "  ")).join(
+        "".join(draw.choices("abé一", k=draw.choice((1, 1, 1, 2, 5, 15, 16, 17, 90)))) for _ in range(draw.randint(1, 14))
+    ) for _ in range(200)]
+    lines += ["a b c d e f g h", "a b c d e f g h i", "a b c d e f g hi", "x " + "a b c d e f g h " * 3]
+    rows = spark.createDataFrame([(line.strip(" "),) for line in lines], "line string")
+    spaced = rows.select("line", L.F.expr(L._single("line")).alias("spaced"))
+    parts = spaced.select("line", L.F.explode(L.F.expr(L._parts("spaced"))).alias("p"))
+    found = parts.selectExpr("line", f"explode(transform({L._starts('p')}, i -> substring(p, i, 16))) AS s")
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.line, set()).add(r.s)
+    for line in lines:
+        words = re.split(" +", line.strip(" "))
+        want = {" ".join(words[k : k + 8])[:16] for k in range(len(words))}
+        want |= {word[k : k + 16] for word in words for k in range(len(word) - 15)}
+        assert got[line.strip(" ")] == want, line
