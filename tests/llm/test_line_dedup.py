@@ -201,3 +201,30 @@ def test_one_scan_finds_the_shingles_of_words_one_by_one(spark):
         want = {" ".join(words[k : k + 8])[:16] for k in range(len(words))}
         want |= {word[k : k + 16] for word in words for k in range(len(word) - 15)}
         assert got[line.strip(" ")] == want, line
+
+
+def near_copies(count):
+    """Distinct near copies of one line of 60 words, as documents: many similar to each other, many not."""
+    words, rows = prose(41, 60).split(" "), []
+    for k in range(count):
+        draw, own = random.Random(k), list(words)
+        own[draw.sample(range(len(own)), 1)[0]] = f"w{draw.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    return rows
+
+
+def test_links_of_near_copies_do_not_grow_with_their_square(spark):
+    rows = near_copies(240)
+    docs = documents(spark, rows)
+    lines = L._lines(docs.select("doc_id", "text"))
+    assert L._links(lines, L._lists(lines)).count() < 30 * len(rows)
+    found = L.repeated_lines(docs).collect()
+    assert {(r.doc_id, number) for r in found for number in r.removed} == brute(rows)
+
+
+def test_short_lists_need_no_second_step(spark):
+    # A list of two or three lines has met its centres: nothing is left to compare.
+    rows = near_copies(3)
+    lines = L._lines(documents(spark, rows).select("doc_id", "text"))
+    left = L._lists(lines).where("NOT centre").groupBy("key").count().collect()
+    assert all(r["count"] == 1 for r in left)
