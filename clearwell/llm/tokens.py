@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ END_ID = 1
 # Words kept per Python worker, about 90 MB; beyond it the cache starts anew.
 CACHE_WORDS = 400_000
 # Punctuation that ends a plain word, and the bytes that stand for themselves in the vocabulary.
-_ENDINGS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_ENDINGS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _OWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _encoders: dict[str, WordEncoder] = {}
 
@@ -40,8 +40,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._known, self._parts = _Cache(self._ids), _Cache(self._merged)
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
 
@@ -54,46 +53,50 @@ class WordEncoder:
     def encode(self, text: str | None) -> bytes:
         """Ids as bytes; none for a null text."""
         words = (text or "").encode("utf-8", "surrogatepass").split()
-        known = self._known
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            new = [word for word in dict.fromkeys(words) if word not in known]
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        texts = [word.decode("utf-8", "replace") for word in new]
-        odd = []
-        for word, one in zip(new, texts, strict=True):
-            ids = self._plain(one)
-            if ids is None:
-                odd.append((word, one))
-            else:
-                known[word] = ids
-        found = self._tokenizer.encode_batch_fast([one for _, one in odd], add_special_tokens=False)
-        known.update((word, np.array(one.ids, "<u4").tobytes()) for (word, _), one in zip(odd, found, strict=True))
-        return b"".join([known[word] for word in words])
-
-    def _plain(self, word: str) -> bytes | None:
-        """Ids of Latin letters and perhaps punctuation after them: two pieces for the merges. None for others."""
+        return b"".join(map(self._known.__getitem__, words))
+
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word not met before.
+
+        Latin letters and perhaps punctuation after them are two pieces for the merges, others are for the tokenizer.
+        """
         letters = word.rstrip(_ENDINGS)
-        # Composed letters below U+0250 but U+0130 stay one letter in lower case and in NFC.
-        if not letters.isalpha() or max(letters) >= "\u0250" or "\u0130" in letters:
-            return None
-        return self._part(letters.lower()) + (self._part(word[len(letters) :]) if len(letters) < len(word) else b"")
-
-    def _part(self, part: str) -> bytes:
-        ids = self._parts.get(part)
-        if ids is None:
-            if len(self._parts) >= CACHE_WORDS:
-                self._parts.clear()
-            spelled = part if part.isascii() else "".join(map(self._letters.__getitem__, part.encode()))
-            found = [token.id for token in self._model.tokenize(spelled)]
-            ids = struct.pack(f"<{len(found)}I", *found)
-            self._parts[part] = ids
+        # Of bytes, isalpha() means ASCII letters only.
+        part = letters.lower() if letters.isalpha() else _lower_latin(letters)
+        if part is None:
+            found = self._tokenizer.encode_batch_fast([word.decode("utf-8", "replace")], add_special_tokens=False)
+            return np.array(found[0].ids, "<u4").tobytes()
+        if len(letters) == len(word):
+            return self._parts[part]
+        return self._parts[part] + self._parts[word[len(letters) :]]
+
+    def _merged(self, part: bytes) -> bytes:
+        spelled = part.decode() if part.isascii() else "".join(map(self._letters.__getitem__, part))
+        found = [token.id for token in self._model.tokenize(spelled)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+
+class _Cache(dict):
+    """Ids by word; those of a new one are made when it is looked up, once the cache is full it starts anew."""
+
+    def __init__(self, ids: Callable[[bytes], bytes]) -> None:
+        self._make = ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        ids = self[word] = self._make(word)
         return ids
 
 
+def _lower_latin(letters: bytes) -> bytes | None:
+    """Composed letters below U+0250 but U+0130 in lower case: one letter each, also in NFC. None if there are others."""
+    text = letters.decode("utf-8", "replace")
+    if not text.isalpha() or max(text) >= "\u0250" or "\u0130" in text:
+        return None
+    return text.lower().encode()
+
+
 def _pieces(path: str, capacity: int, with_ids: bool):
     end = np.array([END_ID], "<u4").tobytes()
 

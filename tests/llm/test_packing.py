@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from clearwell.llm import bestfit_packing as B
 from clearwell.llm import token_output as T
+from clearwell.llm import tokens
 from clearwell.llm.tokens import WordEncoder
 from tests.llm.cases import documents, texts
 
@@ -40,6 +41,17 @@ def test_word_by_word_ids_are_the_tokenizers(plain):
     assert encoder.encode(None) == b""
 
 
+def test_a_text_of_more_words_than_the_cache_keeps_its_bound(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 5)
+    encoder, tokenizer = WordEncoder(PATH), Tokenizer.from_file(PATH)
+    text = " ".join(f"Word{'abcdefghij'[k % 10] * (k // 10 + 1)}, {k} été{k} 漢{k}" for k in range(40)) + " worda, Worda"
+    for _ in range(2):
+        ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder._known) <= 5 and len(encoder._parts) <= 5
+
+
+
 def check_plan(counts, capacity):
     plan, fill, ranks = B.make_plan(counts, capacity), defaultdict(list), defaultdict(list)
     for row in zip(plan.length, plan.rank, plan.count, plan.sequence, plan.offset, plan.each, strict=True):
