@@ -228,3 +228,24 @@ def test_short_lists_need_no_second_step(spark):
     lines = L._lines(documents(spark, rows).select("doc_id", "text"))
     left = L._lists(lines).where("NOT centre").groupBy("key").count().collect()
     assert all(r["count"] == 1 for r in left)
+
+
+def test_long_words_are_seen_wherever_they_stand(spark):
+    lines = ["x" * 16, "x" * 17, "a " + "x" * 17, "x" * 17 + " a", "a b " + "x" * 16 + " c", "", "é" * 17, "ab cde " * 100_000]
+    lines += [lines[-1] + "y" * 17]
+    rows = spark.createDataFrame(list(enumerate(lines)), "k long, line string")
+    found = {r.k: r.long for r in rows.selectExpr("k", f"{L._has_long('line')} AS long").collect()}
+    assert [found[k] for k in range(len(lines))] == [max(map(len, line.split(" "))) > 16 for line in lines]
+
+
+def test_lists_of_one_line_go_without_a_sort(spark, monkeypatch):
+    plans = []
+
+    def stored(df, label, own=L.stored):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return own(df, label)
+
+    monkeypatch.setattr(L, "stored", stored)
+    L._lists(L._lines(documents(spark, near_copies(3)).select("doc_id", "text")))
+    plan = dict(plans)["line-sizes"]
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and " Sort [" not in plan
