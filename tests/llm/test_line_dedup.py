@@ -249,3 +249,48 @@ def test_lists_of_one_line_go_without_a_sort(spark, monkeypatch):
     L._lists(L._lines(documents(spark, near_copies(3)).select("doc_id", "text")))
     plan = dict(plans)["line-sizes"]
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and " Sort [" not in plan
+
+
+def test_shingles_of_lines_cut_by_bytes_are_those_of_their_words(spark):
+    draw, letters = random.Random(9), ("ab", "aé", "一b", "\U0001f600a\u2019", "Āа\t\r")
+    lines = [
+        draw.choice((" ", "  ")).join(
+            "".join(draw.choices(draw.choice(letters), k=draw.choice((1, 1, 1, 2, 5, 15, 16, 17, 80, 200))))
+            for _ in range(draw.randint(1, 14))
+        )
+        for _ in range(300)
+    ]
+    lines += ["é b c d e f g h", "é b c d e f g h i", "a b c d e f g 一 i", "a b c d e f g hi", "x " + "a b c d e f g h " * 3 + "y"]
+    rows = L._lines(documents(spark, [(k, line) for k, line in enumerate(lines)]).select("doc_id", "text"))
+    texts_ = {(r.h1, r.h2): r.line for r in rows.select("h1", "h2", "line").collect()}
+    got = {}
+    for r in L._shingles(rows).collect():
+        got.setdefault(texts_[r.h1, r.h2], set()).add(r.s)
+    assert set(got) == set(texts_.values()) and len(got) > 200
+    for line, own in got.items():
+        words = re.split(" +", line)
+        want = {" ".join(words[k : k + 8])[:16] for k in range(len(words))}
+        want |= {word[k : k + 16] for word in words for k in range(len(word) - 15)}
+        assert own == want, line
+
+
+def test_lists_and_their_sizes_are_one_shuffle(spark, monkeypatch):
+    plans = []
+
+    def stored(df, label, own=L.stored):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return own(df, label)
+
+    monkeypatch.setattr(L, "stored", stored)
+    L._lists(L._lines(documents(spark, near_copies(3)).select("doc_id", "text")))
+    # Without h1 on one side, there would be two shuffles of every key.
+    assert len(re.findall(r"\[h1#\d+L\], false, \[key#", dict(plans)["line-sizes"])) == 2
+
+
+def test_lines_of_no_list_go_before_the_shuffle(spark):
+    rows = near_copies(20) + [(100 + k, prose(5000 + k, 30)) for k in range(400)]
+    lines = L._lines(documents(spark, rows).select("doc_id", "text"))
+    lists = L._lists(lines)
+    listed = {r.h1 for r in lists.select("h1").distinct().collect()}
+    left = {r.h1 for r in L._perhaps(lines, lists).select("h1").collect()}
+    assert len(listed) >= 20 and listed <= left and len(left) < len(listed) + 40
