@@ -294,3 +294,7 @@ def test_lines_of_no_list_go_before_the_shuffle(spark):
     listed = {r.h1 for r in lists.select("h1").distinct().collect()}
     left = {r.h1 for r in L._perhaps(lines, lists).select("h1").collect()}
     assert len(listed) >= 20 and listed <= left and len(left) < len(listed) + 40
+    found = L._perhaps(lines, lists).select("h1", "h2", "line")
+    plan = found.join(lists.select("h1").distinct().hint("shuffle_hash"), "h1", "left_semi").distinct()
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ShuffledHashJoin") < plan.index("Exchange hashpartitioning(h1") < plan.index("BroadcastHashJoin")
